@@ -88,10 +88,10 @@ def token_arrays(df: DataFrame, key: str, columns: Sequence[str], lexicon: DataF
     grouped = stacked.groupBy(key).agg(
         F.array_sort(F.collect_list("e")).alias("__e"), *[F.max(c).alias(c) for c in keep]
     )
-    parts = {
-        f"{name}_tokens": F.transform(F.filter("__e", lambda e, i=i: e["part"] == i), lambda e: e["token"])
-        for i, name in enumerate(columns)
-    }
+    def part(number: int) -> Column:
+        return F.transform(F.filter("__e", lambda e: e["part"] == number), lambda e: e["token"])
+
+    parts = {f"{name}_tokens": part(number) for number, name in enumerate(columns)}
     return grouped.withColumns(parts).drop("__e")
 
 

@@ -3,4 +3,4 @@
 
 def load() -> None:
     """Register every query."""
-    from . import relational  # noqa: F401
+    from . import modelling, relational  # noqa: F401

@@ -69,7 +69,8 @@ CLUSTER_DIMS = 5
 DISPLAY_DIMS = 2
 
 LR_MAX_ITER = 2000
-SVC_MAX_ITER = 5000
+SVC_MAX_ITER = 100  # passes over the data, of which a subgradient method needs far fewer than a solver step count
+SVC_TOLERANCE = 1e-3
 PENALTY_C = 1.0
 GBM_TREES = 200
 GBM_DEPTH = 5

@@ -7,6 +7,7 @@ Every fitted model's ``transform`` adds ``prediction`` and the array ``proba``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from .. import config as cfg
 from ..functions.vectors import argmax, softmax
-from ..scratch import Scratch
+from ..scratch import Scratch, compact
 from .aggregates import with_class_weight
 from .articles import encode_labels
 from .evaluation import classification_scores
@@ -49,6 +50,10 @@ def vector_features(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
 
 
+def _columns(train: DataFrame, *more: str) -> DataFrame:
+    return train.select("features", "label_idx", "weight", *more)
+
+
 class FittedClassifier:
     """A fitted model whose output carries ``prediction`` and ``proba``."""
 
@@ -69,10 +74,11 @@ class FittedClassifier:
 
 def fit_lr(train: DataFrame, max_iter: int = cfg.LR_MAX_ITER, c: float = cfg.PENALTY_C) -> FittedClassifier:
     """Balanced multinomial regression; the penalty equals ``C`` on the sum of weighted losses."""
-    total = train.agg(F.sum("weight")).first()[0]
-    lr = LogisticRegression(maxIter=max_iter, regParam=1.0 / (c * total), standardization=False,
-                            family="multinomial", weightCol="weight", **_COLUMNS)
-    return FittedClassifier(lr.fit(train))
+    with compact(_columns(train)) as rows:
+        total = rows.agg(F.sum("weight")).first()[0]
+        lr = LogisticRegression(maxIter=max_iter, regParam=1.0 / (c * total), standardization=False,
+                                family="multinomial", weightCol="weight", **_COLUMNS)
+        return FittedClassifier(lr.fit(rows))
 
 
 class CalibratedSvc:
@@ -106,52 +112,60 @@ class CalibratedSvc:
 
 
 def fit_svc_calibrated(train: DataFrame, key: str, folds: int = cfg.FOLDS, max_iter: int = cfg.SVC_MAX_ITER,
-                       c: float = cfg.PENALTY_C, parallelism: int = 4) -> CalibratedSvc:
-    """Linear SVM per class; each class's sigmoid is fitted on margins of rows held out by fold."""
-    scratch = Scratch(train.sparkSession, "svc")
-    rows = stratified_kfold(train, "label_idx", key, folds).persist()
-    total = rows.agg(F.sum("weight")).first()[0]
+                       c: float = cfg.PENALTY_C, tol: float = cfg.SVC_TOLERANCE, parallelism: int = 2) -> CalibratedSvc:
+    """Linear SVM per class; each class's sigmoid is fitted on margins of rows held out by fold.
 
-    def margins(fit_on: DataFrame) -> OneVsRestModel:
-        svc = LinearSVC(maxIter=max_iter, regParam=1.0 / (c * total), standardization=False, weightCol="weight")
-        return OneVsRest(classifier=svc, weightCol="weight", parallelism=parallelism, **_COLUMNS).fit(fit_on)
+    The fits of the folds and the final one are independent and share the cluster.
+    """
+    scratch = Scratch(train.sparkSession, "svc")
+    with compact(stratified_kfold(_columns(train, key), "label_idx", key, folds)) as rows:
+        total = rows.agg(F.sum("weight")).first()[0]
+
+        def margins(held_out: int) -> OneVsRestModel:
+            svc = LinearSVC(maxIter=max_iter, regParam=1.0 / (c * total), standardization=False, tol=tol)
+            fit_on = rows.where(F.col("fold") != held_out)
+            return OneVsRest(classifier=svc, weightCol="weight", parallelism=parallelism, **_COLUMNS).fit(fit_on)
+
+        with ThreadPool(folds + 1) as pool:
+            *fitted, final = pool.map(margins, [*range(folds), -1])
+        scored = None
+        for f, model in enumerate(fitted):
+            part = model.transform(rows.where(F.col("fold") == f)).select(
+                "label_idx", vector_to_array("rawPrediction").alias("m")
+            )
+            scored = part if scored is None else scored.unionByName(part)
+        scored = scratch.write(scored, "margins")
+    with compact(scored) as held_out:
 
-    try:
-        held_out = None
-        for f in range(folds):
-            scored = margins(rows.where(F.col("fold") != f)).transform(rows.where(F.col("fold") == f))
-            part = scored.select("label_idx", vector_to_array("rawPrediction").alias("m"))
-            held_out = part if held_out is None else held_out.unionByName(part)
-        held_out = scratch.write(held_out, "margins").persist()
-        final = margins(rows)
-        sigmoids = []
-        for i in range(len(final.models)):
+        def sigmoid(i: int) -> tuple[float, float]:
             one = held_out.select(
                 array_to_vector(F.array(F.coalesce(F.get("m", F.lit(i)), F.lit(0.0)))).alias("features"),
                 (F.col("label_idx") == i).cast("double").alias("label_idx"),
             )
             lr = LogisticRegression(family="binomial", maxIter=100, **_COLUMNS).fit(one)
-            sigmoids.append((float(lr.coefficients[0]), float(lr.intercept)))
-        held_out.unpersist()
-    finally:
-        rows.unpersist()
+            return float(lr.coefficients[0]), float(lr.intercept)
+
+        with ThreadPool(4) as pool:
+            sigmoids = pool.map(sigmoid, range(len(final.models)))
     return CalibratedSvc(final, sigmoids)
 
 
 def fit_gbm(train: DataFrame, trees: int = cfg.GBM_TREES, depth: int = cfg.GBM_DEPTH, rate: float = cfg.GBM_RATE,
             seed: int = cfg.SEED, parallelism: int = 4) -> FittedClassifier:
     gbt = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed)
-    return FittedClassifier(OneVsRest(classifier=gbt, parallelism=parallelism, **_COLUMNS).fit(train))
+    with compact(_columns(train)) as rows:
+        return FittedClassifier(OneVsRest(classifier=gbt, parallelism=parallelism, **_COLUMNS).fit(rows))
 
 
 def fit_rf(train: DataFrame, trees: int = cfg.RF_TREES, depth: int = cfg.RF_MAX_DEPTH,
            seed: int = cfg.SEED) -> FittedClassifier:
     rf = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight", **_COLUMNS)
-    return FittedClassifier(rf.fit(train))
+    with compact(_columns(train)) as rows:
+        return FittedClassifier(rf.fit(rows))
 
 
 def fit_gaussian_nb(train: DataFrame) -> FittedClassifier:
-    return FittedClassifier(NaiveBayes(modelType="gaussian", **_COLUMNS).fit(train))
+    return FittedClassifier(NaiveBayes(modelType="gaussian", **_COLUMNS).fit(_columns(train)))
 
 
 class MajorityClass:
@@ -183,28 +197,25 @@ def fit_ffnn(train: DataFrame, key: str, hidden: Sequence[int] = cfg.FFNN_HIDDEN
 
     Validation rows are a fold of their own. Each stage continues from the weights of the last.
     """
-    rows = stratified_kfold(train, "label_idx", key).persist()
-    try:
-        fit_on = oversample(rows.where(F.col("fold") != 0), "label_idx", key).select("features", "label_idx").persist()
-        held_out = rows.where(F.col("fold") == 0)
+    with compact(stratified_kfold(_columns(train, key), "label_idx", key)) as rows:
         width = rows.select("features").first()[0].size
         classes = classes or int(rows.agg(F.max("label_idx")).first()[0]) + 1
+        held_out = rows.where(F.col("fold") == 0)
+        balanced = oversample(rows.where(F.col("fold") != 0), "label_idx", key).select("features", "label_idx")
         best, best_score, start = None, -1.0, None
-        for _ in range(stages):
-            net = MultilayerPerceptronClassifier(
-                layers=[width, *hidden, classes], maxIter=max(1, epochs // stages), seed=seed, **_COLUMNS
-            )
-            if start is not None:
-                net = net.setInitialWeights(start)
-            model = net.fit(fit_on)
-            start = model.weights
-            hit = (F.col("prediction") == F.col("label_idx")).cast("double")
-            score = model.transform(held_out).agg(F.coalesce(F.avg(hit), F.lit(0.0))).first()[0]
-            if score > best_score:
-                best, best_score = model, score
-        fit_on.unpersist()
-    finally:
-        rows.unpersist()
+        with compact(balanced) as fit_on:
+            for _ in range(stages):
+                net = MultilayerPerceptronClassifier(
+                    layers=[width, *hidden, classes], maxIter=max(1, epochs // stages), seed=seed, **_COLUMNS
+                )
+                if start is not None:
+                    net = net.setInitialWeights(start)
+                model = net.fit(fit_on)
+                start = model.weights
+                hit = (F.col("prediction") == F.col("label_idx")).cast("double")
+                score = model.transform(held_out).agg(F.coalesce(F.avg(hit), F.lit(0.0))).first()[0]
+                if score > best_score:
+                    best, best_score = model, score
     return FittedClassifier(best)
 
 
@@ -235,15 +246,11 @@ def train_and_evaluate(fit: Fit, train: DataFrame, test: DataFrame):
 
 def compare_models(fits: dict[str, Fit], train: DataFrame, test: DataFrame) -> tuple[DataFrame, dict[str, object]]:
     """Scores of every model, best macro-F1 first, and the fitted models."""
-    train, test = train.persist(), test.persist()
     rows, models = [], {}
-    try:
+    with compact(train) as fit_on, compact(test) as score_on:
         for name, fit in fits.items():
-            models[name], scores = train_and_evaluate(fit, train, test)
+            models[name], scores = train_and_evaluate(fit, fit_on, score_on)
             rows.append((name, *scores.first()))
-    finally:
-        train.unpersist()
-        test.unpersist()
     results = train.sparkSession.createDataFrame(rows, "model string, acc double, f1_macro double, f1_weighted double")
     return compare_sort(results), models
 
@@ -327,17 +334,14 @@ def cross_validate(fit: Fit, df: DataFrame, key: str, folds: int = cfg.FOLDS) ->
 
     Folds are balanced per label. Weights are recomputed on each training part.
     """
-    rows = stratified_kfold(df.drop("weight"), "label_idx", key, folds).persist()
     scores = []
-    try:
+    with compact(stratified_kfold(df.drop("weight"), "label_idx", key, folds)) as rows:
         for f in range(folds):
             train = with_class_weight(rows.where(F.col("fold") != f), "label_idx")
             test = rows.where(F.col("fold") == f)
             _, score = train_and_evaluate(fit, train, test)
             value = score.first()["f1_macro"]
             scores.append((f, 0.0 if value is None else float(value)))
-    finally:
-        rows.unpersist()
     out = df.sparkSession.createDataFrame(scores, "fold int, f1_macro double")
     return out.withColumns({"mean": out.agg(F.avg("f1_macro")).scalar(), "std": out.agg(F.stddev_pop("f1_macro")).scalar()})
 

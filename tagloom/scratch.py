@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +48,18 @@ class Scratch:
         path_type = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         path = path_type(f"{self.path}/{name}")
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def compact(df: DataFrame, rows_per_task: int = 20_000) -> Iterator[DataFrame]:
+    """The frame cached for many passes, in no more partitions than its rows are worth.
+
+    Iterative fits launch a job per step, so a small training set spread over many partitions
+    would spend its time on task launches. Large frames keep their partitions.
+    """
+    parts = max(1, -(-df.count() // rows_per_task))
+    out = df.coalesce(parts).persist()
+    try:
+        yield out
+    finally:
+        out.unpersist()

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as cfg
+from ..sources.tables import read_spread
 
 LABELS = ["q0t0", "q0t1", "q1t0", "q1t1"]
 VECTOR_LABELS = [str(i) for i in range(10)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return read_spread(spark, path) if name in ("documents", "pages") else spark.read.parquet(path)
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as cfg
 from ..functions import text as tx
+from ..scratch import Scratch
 from .ranking import top_n_per_group
 from .tokens import token_arrays
 
@@ -93,7 +94,9 @@ def class_term_distribution(counts: DataFrame, n_docs: Column, labels: Sequence[
 
 def ctfidf(counts: DataFrame, topic: str = "topic", min_df: int = 5) -> DataFrame:
     """Class-based TF-IDF with damped frequent words; document frequency counts topics."""
-    per_topic = counts.groupBy(topic, "term").agg(F.sum("tf").alias("n"))
+    per_topic = Scratch(counts.sparkSession, "ctfidf").write(
+        counts.groupBy(topic, "term").agg(F.sum("tf").alias("n")), "per-topic"
+    )
     terms = per_topic.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("f")).where(
         F.col("df") >= min_df
     )

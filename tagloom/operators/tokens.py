@@ -44,30 +44,41 @@ def lemma_map(tokens: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """``(token, lemma)`` for the tokens that change, decided once per distinct token.
 
     A stem counts when the lexicon holds it; the shortest wins, then the earlier rule. The default
-    lexicon is the corpus' own vocabulary.
+    lexicon is the corpus' own vocabulary: then every token is sent to its own spelling, as an
+    entry, and to its possible stems, as a question, so the texts are read once and nothing is
+    joined. At most one token per rule asks for the same stem.
     """
     vocabulary = tokens.select("token").distinct()
-    words = vocabulary if lexicon is None else lexicon.select(F.col(lexicon.columns[0]).alias("token")).distinct()
-    options = vocabulary.where(F.col("token").rlike("(s|men)$")).select(
-        "token", F.explode(lemma_candidates(F.col("token"))).alias("c")
-    )
-    known = options.join(words.select(F.col("token").alias("w")), F.col("c.lemma") == F.col("w"), "left_semi")
-    return known.groupBy("token").agg(F.min("c").alias("c")).select("token", "c.lemma")
+    options = lemma_candidates(F.col("token"))
+    if lexicon is not None:
+        known = lexicon.select(F.col(lexicon.columns[0]).alias("w")).distinct()
+        asked = vocabulary.select("token", F.explode(options).alias("c"))
+        found = asked.join(known, F.col("c.lemma") == F.col("w"), "left_semi")
+    else:
+        question = F.transform(options, lambda c: F.struct(c["lemma"].alias("w"), F.col("token"), c.alias("c")))
+        entry = F.struct(F.col("token").alias("w"), F.lit(None).cast("string").alias("token"),
+                         F.lit(None).cast("struct<length:int,ord:int,lemma:string>").alias("c"))
+        sent = vocabulary.select(F.explode(F.concat(F.array(entry), question)).alias("e")).select("e.*")
+        met = sent.groupBy("w").agg(
+            F.bool_or(F.col("token").isNull()).alias("is_word"),
+            F.collect_list(F.when(F.col("token").isNotNull(), F.struct("token", "c"))).alias("asked"),
+        )
+        found = met.where("is_word").select(F.explode("asked").alias("a")).select("a.token", "a.c")
+    return found.groupBy("token").agg(F.min("c").alias("c")).select("token", "c.lemma")
 
 
 def lemmatized_rows(df: DataFrame, key: str, columns: Sequence[str], lexicon: DataFrame | None = None,
                     stop_words=None) -> DataFrame:
     rows = token_rows(df, key, columns, stop_words)
     lemmas = lemma_map(rows, lexicon)
-    # Only words with a noun ending can change; the rest carry a null key, which never shuffles hot.
-    rows = rows.withColumn("__word", F.when(F.col("token").rlike("(s|men)$"), F.col("token")))
-    changing = rows.where(F.col("__word").isNotNull()).join(
+    # Only words with a noun ending can change. The others get one of many keys that match nothing,
+    # so they neither meet in one task nor need a second reading of the texts.
+    other = F.concat(F.lit("|"), F.pmod(F.xxhash64(key, "pos"), F.lit(4096)))
+    word = F.when(F.col("token").rlike("(s|men)$"), F.col("token")).otherwise(other)
+    joined = rows.withColumn("__word", word).join(
         lemmas.select(F.col("token").alias("__word"), "lemma"), "__word", "left"
     )
-    fixed = rows.where(F.col("__word").isNull())
-    return changing.select(key, "part", "pos", F.coalesce("lemma", "token").alias("token")).unionByName(
-        fixed.select(key, "part", "pos", "token")
-    )
+    return joined.select(key, "part", "pos", F.coalesce("lemma", "token").alias("token"))
 
 
 def token_arrays(df: DataFrame, key: str, columns: Sequence[str], lexicon: DataFrame | None = None,

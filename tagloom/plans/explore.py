@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from .. import config as cfg
 from ..operators import features as ft
 from ..operators.aggregates import label_distribution
+from ..scratch import Scratch
 
 
 def corpus_terms(articles: DataFrame, key: str, label: str = "User_Needs", lo: int = 1, hi: int = 2) -> DataFrame:
-    """Term counts of the combined clean text of every article, with its label."""
+    """Term counts of the combined clean text of every article, with its label.
+
+    Vocabularies and weights both start from these counts, so they are written once: cleaning and
+    counting the texts again would cost far more than reading them back.
+    """
     docs = ft.document_tokens(articles, key, keep=[label])
-    return ft.term_counts(docs, key, [label], lo, hi)
+    return Scratch(articles.sparkSession, "terms").write(ft.term_counts(docs, key, [label], lo, hi), "counts")
 
 
 def corpus_tfidf(articles: DataFrame, key: str, min_df: int = cfg.VOCAB_MIN_DF, max_df: float = cfg.VOCAB_MAX_DF,

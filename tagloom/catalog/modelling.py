@@ -208,10 +208,8 @@ def duplicate_label_conflicts(spark, d):
 
 @query(f"WITH {sql_pairs(0.8)} SELECT a, b, round(s, 4) AS similarity FROM pairs WHERE kind = 'near'")
 def pair_theta(spark, d):
-    weights = duplicate_weights(spark, d)
-    groups = sm.copy_groups(weights, "doc_id")
-    reps = groups.where(F.col("doc_id") == F.col("rep")).select("doc_id")
-    return rounded(sm.similar_pairs(weights.join(reps, "doc_id", "left_semi"), "doc_id", 0.8), "similarity")
+    out = sm.near_duplicates(duplicate_weights(spark, d), s.articles(spark, d), "doc_id", threshold=0.8)
+    return out.where("kind = 'near'").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "similarity")
 
 
 @query(f"""WITH {q.VECTORS}, {CENTROIDS} SELECT a.need AS class_a, b.need AS class_b,

@@ -13,7 +13,7 @@ from ..operators import filters as fl
 from ..operators import joins as jn
 from ..operators import ranking as rk
 from ..operators import tokens as tk
-from ..plans.prepare import prepare_supervised
+from ..plans import prepare as pr
 from ..sources import stores as st
 from ..sources import tables as tb
 from ..streaming.incremental import IncrementalExtract, scratch_output
@@ -426,7 +426,7 @@ splits AS (SELECT vec_id, CASE WHEN r <= round(0.2 * n) THEN 'test' ELSE 'train'
 @query(f"WITH {q.VECTORS}, {SPLIT} SELECT vec_id, split, round(v[1], 5) AS x0 FROM vecs JOIN splits USING (vec_id)")
 def split_embeddings(spark, d):
     v = s.vectors(spark, d)
-    splits = prepare_supervised(v.select("vec_id", "User_Needs"), "vec_id")
+    splits = pr.prepare_supervised(v.select("vec_id", "User_Needs"), "vec_id")
     out = jn.split_embeddings(v.select("vec_id", "embedding"), splits, "vec_id")
     return out.select("vec_id", "split", F.round(F.col("embedding")[0].cast("double"), 5).alias("x0"))
 
@@ -673,8 +673,8 @@ def sample_cap(spark, d):
 SELECT dv.doc_id, CASE WHEN lr.r IS NULL THEN 'unlabeled' WHEN r <= round(0.2 * n) THEN 'test' ELSE 'train' END AS split,
 c::INTEGER AS label_idx, md5(combined_text) AS text_md5, md5(combined_short) AS short_md5, md5(clean_combined) AS clean_md5, md5(raw_combined) AS raw_md5
 FROM dv LEFT JOIN lr USING (doc_id) LEFT JOIN code USING (label)""")
-def prepare_supervised_rows(spark, d):
-    out = prepare_supervised(ar.preprocess_articles(s.articles(spark, d), "doc_id"), "doc_id")
+def prepare_supervised(spark, d):
+    out = pr.prepare_supervised(ar.preprocess_articles(s.articles(spark, d), "doc_id"), "doc_id")
     names = {"text_md5": "combined_text", "short_md5": "combined_short", "clean_md5": "clean_combined", "raw_md5": "raw_combined"}
     return out.select("doc_id", "split", "label_idx", *[F.md5(c).alias(n) for n, c in names.items()])
 

@@ -69,6 +69,7 @@ CLUSTER_DIMS = 5
 DISPLAY_DIMS = 2
 
 LR_MAX_ITER = 2000
+LR_TOLERANCE = 1e-4
 SVC_MAX_ITER = 100  # passes over the data, of which a subgradient method needs far fewer than a solver step count
 SVC_TOLERANCE = 1e-3
 PENALTY_C = 1.0

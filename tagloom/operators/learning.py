@@ -72,11 +72,12 @@ class FittedClassifier:
         self.model.write().save(path)
 
 
-def fit_lr(train: DataFrame, max_iter: int = cfg.LR_MAX_ITER, c: float = cfg.PENALTY_C) -> FittedClassifier:
+def fit_lr(train: DataFrame, max_iter: int = cfg.LR_MAX_ITER, c: float = cfg.PENALTY_C,
+           tol: float = cfg.LR_TOLERANCE) -> FittedClassifier:
     """Balanced multinomial regression; the penalty equals ``C`` on the sum of weighted losses."""
     with compact(_columns(train)) as rows:
         total = rows.agg(F.sum("weight")).first()[0]
-        lr = LogisticRegression(maxIter=max_iter, regParam=1.0 / (c * total), standardization=False,
+        lr = LogisticRegression(maxIter=max_iter, tol=tol, regParam=1.0 / (c * total), standardization=False,
                                 family="multinomial", weightCol="weight", **_COLUMNS)
         return FittedClassifier(lr.fit(rows))
 

@@ -242,3 +242,16 @@ def test_plans_have_no_cross_join_or_python(spark, blobs):
     for df in (sm.similar_pairs(w, "id", 0.9), sm.nearest_class(blobs, c, "id", "label", "v"), w):
         text = plan(df)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "Python" not in text and "Pandas" not in text
+
+
+def test_plans_trim_and_push_down(spark, tmp_path):
+    from tagloom.operators import filters as fl
+    from tagloom.operators import ranking as rk
+
+    schema = "`Post id` string, `Publish date` string, Tags string, body string"
+    path = str(tmp_path / "export")
+    spark.createDataFrame([("1", "2025-01-01 00:00", None, "x")], schema).write.parquet(path)
+    text = plan(fl.filter_articles(spark.read.parquet(path), "2025-01-01", "2025-02-01").select("Publish_date", "User_Needs"))
+    assert "GreaterThanOrEqual(Publish date,2025-01-01)" in text and "IsNotNull(Post id)" in text and "body" not in text
+    picked = rk.few_shot_sample(spark.range(10).withColumn("label", F.col("id") % 2), "label", "id")
+    assert "WindowGroupLimit" in plan(picked)

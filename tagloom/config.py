@@ -23,6 +23,7 @@ UNLABELED = "none"
 DROPPED_LABEL = "other-not-news"
 LABEL_TAG_PREFIX = "user_need: "
 
+# Corpus stop words and the column names of the stored tables.
 CUSTOM_STOP_WORDS = [
     "maine", "said", "one", "also", "people", "state", "year",
     "portland", "time", "like", "would", "get", "new",
@@ -86,7 +87,7 @@ VECTOR_STEP_DIM = 64
 
 PROMPT_TASKS = ("classification", "clustering")
 
-# Columns of a run log that describe the run and are not metric series.
+# Columns of a run log that describe the run and are not metric series.
 RUN_LOG_SKIP = [
     "run_name", "base_model", "model_id", "saved_at", "elapsed_seconds", "train_size",
     "batch_size", "num_epochs", "num_iterations",

@@ -26,6 +26,7 @@ ENTITIES = {
     "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&hellip;": "…", "&amp;": "&",
 }
 
+# Reasons in the failures table, in the order they are tested.
 NO_ARTICLE = "No <article> tag found."
 NO_CONTAINER = "No content container found inside <article>."
 NO_PARAGRAPH = "No <p> text found."

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config as cfg
 from ..functions import text as tx
+from ..scratch import settled
 from .ranking import top_n_per_group
 
 _PARAGRAPHS_PER_CHUNK = 256
@@ -182,7 +183,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
-    return df.join(class_weights(df, label).select(label, "weight"), label)
+    return df.join(settled(class_weights(df, label).select(label, "weight")), label)
 
 
 def class_centroids(vectors: DataFrame, label: str, vector: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as cfg
 from ..functions import text as tx
-from ..scratch import Scratch
+from ..scratch import Scratch, settled
 from .ranking import top_n_per_group
 from .tokens import token_arrays
 
@@ -68,7 +68,7 @@ def class_top_terms(counts: DataFrame, class_sizes: DataFrame, key: str, label:
         terms.where(F.col("df") >= min_df), [label], [F.desc("total"), F.asc("term")], max_features, ["term"]
     ).select(label, "term", "df")
     fitted = vocab.join(class_sizes.select(label, F.col("n").alias("n_class")), label)
-    fitted = fitted.withColumn("idf", F.log((1 + F.col("n_class")) / (1 + F.col("df"))) + 1)
+    fitted = settled(fitted.withColumn("idf", F.log((1 + F.col("n_class")) / (1 + F.col("df"))) + 1))
     raw = counts.join(fitted, [label, "term"]).withColumn("__w", (1 + F.log("tf")) * F.col("idf"))
     length = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(key)))
     weights = raw.withColumn("__w", F.col("__w") / length)

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from .. import config as cfg
 from ..functions.vectors import argmax, softmax
-from ..scratch import Scratch, compact
+from ..scratch import Scratch, compact, settled
 from .aggregates import with_class_weight
 from .articles import encode_labels
 from .evaluation import classification_scores
@@ -41,7 +41,7 @@ _SCORES = ("rawPrediction", "probability")
 
 def training_frame(df: DataFrame, label: str, codes: DataFrame | None = None) -> DataFrame:
     """Adds ``label_idx`` by sorted label and the balanced ``weight``."""
-    codes = encode_labels(df, label) if codes is None else codes
+    codes = settled(encode_labels(df, label)) if codes is None else codes
     coded = df.join(codes.select(label, F.col("label_idx").cast("double").alias("label_idx")), label)
     return with_class_weight(coded, "label_idx")
 
@@ -266,6 +266,8 @@ class TfidfVectorizer(Estimator):
     def __init__(self, key: str, max_features: int = cfg.CLASSIFIER_VOCAB_SIZE, min_df: int = cfg.CLASSIFIER_MIN_DF,
                  max_df: float = 1.0, lo: int = 1, hi: int = 2):
         super().__init__()
+        if not max_features:
+            raise ValueError("max_features must bound the vocabulary")
         self.key, self.max_features, self.min_df, self.max_df, self.lo, self.hi = key, max_features, min_df, max_df, lo, hi
 
     def _fit(self, dataset: DataFrame) -> TfidfModel:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as cfg
 from ..functions import text as tx
+from ..scratch import settled
 
 _GROUP_LIMIT = 1000  # Spark trims row_number() <= n before the shuffle up to this n
 _SALTS = 64
@@ -108,7 +109,7 @@ def hash_mark(df: DataFrame, by: Sequence[str], key: str, take: Column, flag: st
     sizes = starts.groupBy(*by).agg(F.max("group_size").alias("group_size"))
     here = F.struct(hash_key(key, seed).alias("__hash"), tx.col(key).alias("__key"))
     if by:
-        out = df.join(sizes.join(last, list(by), "left"), list(by))
+        out = df.join(settled(sizes.join(last, list(by), "left")), list(by))
     else:
         out = df.withColumns(
             {"group_size": sizes.select("group_size").scalar(), "__last": last.select("__last").scalar()}

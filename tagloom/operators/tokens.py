@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..scratch import settled
 
 # Noun endings and their replacements, in the order they are tried.
 NOUN_ENDINGS = [
@@ -70,7 +71,7 @@ def lemma_map(tokens: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
 def lemmatized_rows(df: DataFrame, key: str, columns: Sequence[str], lexicon: DataFrame | None = None,
                     stop_words=None) -> DataFrame:
     rows = token_rows(df, key, columns, stop_words)
-    lemmas = lemma_map(rows, lexicon)
+    lemmas = settled(lemma_map(rows, lexicon))
     # Only words with a noun ending can change. The others get one of many keys that match nothing,
     # so they neither meet in one task nor need a second reading of the texts.
     other = F.concat(F.lit("|"), F.pmod(F.xxhash64(key, "pos"), F.lit(4096)))

@@ -25,7 +25,7 @@ def corpus_tfidf(articles: DataFrame, key: str, min_df: int = cfg.VOCAB_MIN_DF,
                  max_features: int = cfg.VOCAB_SIZE, label: str = "User_Needs") -> DataFrame:
     counts = corpus_terms(articles, key, label)
     vocab = ft.vocabulary(counts, ft.row_count(articles), min_df, max_df, max_features)
-    return ft.tfidf(counts, vocab, key, [label])
+    return ft.tfidf(counts, vocab, key, [label], bounded=bool(max_features))
 
 
 def top_terms_per_class(articles: DataFrame, key: str, label: str = "User_Needs", n_top: int = 15,

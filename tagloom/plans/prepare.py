@@ -9,6 +9,7 @@ from ..operators.aggregates import combine_paragraphs
 from ..operators.articles import preprocess_articles
 from ..operators.filters import filter_articles, save_eda_dataset, save_ml_datasets
 from ..operators.ranking import stratified_split
+from ..scratch import settled
 from .. import config as cfg
 
 
@@ -35,6 +36,6 @@ def prepare_supervised(df: DataFrame, key: str, label: str = "User_Needs", test_
 
     labeled = df.where(F.col(label) != cfg.UNLABELED)
     splits = stratified_split(labeled.select(key, label), label, key, test_size, seed).select(key, "split")
-    codes = encode_labels(labeled, label)
+    codes = settled(encode_labels(labeled, label))
     out = df.join(splits, key, "left").join(codes, label, "left")
     return out.withColumn("split", F.coalesce("split", F.lit("unlabeled")))

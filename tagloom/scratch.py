@@ -50,6 +50,16 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """A small result written before the join that needs it.
+
+    Its size is then known when the join is planned: within the session's broadcast threshold the
+    large side stays where it is, beyond it the join is shuffled. Left lazy, the large side would
+    already be shuffling on its hot keys by the time the small side turns out to be small.
+    """
+    return Scratch(df.sparkSession, "settled").write(df, "table")
+
+
 @contextmanager
 def compact(df: DataFrame, rows_per_task: int = 20_000) -> Iterator[DataFrame]:
     """The frame cached for many passes, in no more partitions than its rows are worth.

@@ -254,5 +254,5 @@ def test_plans_trim_and_push_down(spark, tmp_path):
     text = plan(fl.filter_articles(spark.read.parquet(path), "2025-01-01", "2025-02-01").select("Publish_date", "User_Needs"))
     text = text.replace("`", "")
     assert "GreaterThanOrEqual(Publish date,2025-01-01)" in text and "IsNotNull(Post id)" in text and "body" not in text
-    picked = rk.few_shot_sample(spark.range(10).withColumn("label", F.col("id") % 2), "label", "id")
+    picked = rk.few_shot_sample(spark.range(1000).withColumn("label", F.col("id") % 2), "label", "id")
     assert "WindowGroupLimit" in plan(picked)

@@ -374,6 +374,19 @@ def ffnn(spark, d):
     return scored(spark, d, lambda t: ln.fit_ffnn(t, "vec_id"))
 
 
+@query()
+def model_registry_factory(spark, d):
+    """Predictions per model and class from freshly fitted registry entries."""
+    registry = ln.model_registry("vec_id")
+    train, test = vector_split(spark, d)
+    out = None
+    for name in ("LR", "NB", "Dummy"):
+        counts = registry[name](train).transform(test).groupBy("prediction").agg(F.count("*").alias("n"))
+        part = counts.select(F.lit(name).alias("model"), "prediction", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query()
 def train_and_evaluate(spark, d):
     train, test = vector_split(spark, d)

@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import zipfile
 from functools import lru_cache
-from glob import glob
-
-import pyspark
 
 from .. import config as cfg
 from ..operators.tokens import NOUN_ENDINGS
@@ -15,12 +10,8 @@ from ..operators.tokens import NOUN_ENDINGS
 
 @lru_cache(maxsize=None)
 def _stop_words() -> list[str]:
-    """The English list as shipped inside Spark's jars, read without a session."""
-    jar = glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as z:
-        base = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
     out = set(cfg.CUSTOM_STOP_WORDS)
-    for w in base:
+    for w in cfg.ENGLISH_STOP_WORDS:
         out.update(p for p in w.split("'") if p) if "'" in w else out.add(w)
     return sorted(out)
 

@@ -3,22 +3,6 @@
 from __future__ import annotations
 
 # Label names, label order for ties, and text limits that results depend on.
-USER_NEEDS_LABELS = [
-    "update-me",
-    "educate-me",
-    "give-me-perspective",
-    "help-me",
-    "connect-me",
-    "inspire-me",
-]
-LABELED_CLASSES = [
-    "update-me",
-    "give-me-perspective",
-    "educate-me",
-    "connect-me",
-    "inspire-me",
-    "help-me",
-]
 UNLABELED = "none"
 DROPPED_LABEL = "other-not-news"
 LABEL_TAG_PREFIX = "user_need: "
@@ -29,6 +13,20 @@ CUSTOM_STOP_WORDS = [
     "portland", "time", "like", "would", "get", "new",
 ]
 
+# The English stop words as Spark ships them, in its order.
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are
+was were be been being have has had having do does did doing a an the and but if or because as until while of
+at by for with about against between into through during before after above below to from up down in out on
+off over under again further then once here there when where why how all any both each few more most other
+some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+""".split()
+
 EDA_COLUMNS = [
     "Apikey", "URL", "Title", "text", "Publish_date", "Authors", "Section", "User_Needs",
     "Views", "Avg. views", "Engaged minutes", "Avg. minutes",
@@ -82,8 +80,6 @@ RF_MAX_DEPTH = 30  # Spark's ceiling; stands for "unlimited"
 FFNN_HIDDEN = (512, 256, 128)
 FFNN_EPOCHS = 30
 
-VECTOR_STEPS = 12
-VECTOR_STEP_DIM = 64
 
 PROMPT_TASKS = ("classification", "clustering")
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import lru_cache, reduce
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,7 +42,7 @@ def word_count(c: str | Column) -> Column:
 @lru_cache(maxsize=None)
 def default_stop_words() -> tuple[str, ...]:
     """Spark's English list, the pieces of its apostrophe words, and the corpus list."""
-    base = StopWordsRemover.loadDefaultStopWords("english")
+    base = cfg.ENGLISH_STOP_WORDS
     pieces = [p for w in base if "'" in w for p in w.split("'") if p]
     return tuple(sorted({w for w in base if "'" not in w} | set(pieces) | set(cfg.CUSTOM_STOP_WORDS)))
 

@@ -61,14 +61,9 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def compact(df: DataFrame, rows_per_task: int = 20_000) -> Iterator[DataFrame]:
-    """The frame cached for many passes, in no more partitions than its rows are worth.
-
-    Iterative fits launch a job per step, so a small training set spread over many partitions
-    would spend its time on task launches. Large frames keep their partitions.
-    """
-    parts = max(1, -(-df.count() // rows_per_task))
-    out = df.coalesce(parts).persist()
+def compact(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame cached in its columnar form for the many passes of an iterative fit."""
+    out = df.persist()
     try:
         yield out
     finally:

@@ -35,17 +35,6 @@ def read_export(spark: SparkSession, path: str, header: list[str] | None = None)
     )
 
 
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table whose texts keep every core busy.
-
-    A table of fewer files than cores may sit in a single row group, and then one task would clean
-    all texts. Such a table is dealt out to all cores first; any larger one is read as it lies.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def load_articles(spark: SparkSession, path: str, key: str = "URL", fmt: str = "parquet") -> DataFrame:
     """Stored articles with their derived text columns; missing ones are computed, not persisted."""
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')

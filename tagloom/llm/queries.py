@@ -1,4 +1,4 @@
 """All registered queries of this package."""
 
-from . import quality  # noqa: F401
+from . import bpe, minhash, quality  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

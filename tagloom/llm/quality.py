@@ -143,6 +143,12 @@ def apply_policy(rows: DataFrame, policy: Policy, column: str = "kept") -> DataF
     return rows.withColumn(column, passes(policy))
 
 
+def passing(docs: DataFrame, policy: Policy, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass the policy, with no column added or replaced."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{text}`").alias("text"))
+    return apply_policy(ledger(rows), policy).filter("kept").select("doc.*")
+
+
 def ablation(rows: DataFrame, policy: Policy) -> DataFrame:
     """Per rule of the policy: documents failing it, rejected by it alone, and kept without it.
 

@@ -1,4 +1,4 @@
 """All registered queries of this package."""
 
-from . import bpe, minhash, mixing, quality, secrets  # noqa: F401
+from . import bpe, langid, minhash, mixing, quality, secrets  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -1,4 +1,4 @@
 """All registered queries of this package."""
 
-from . import bpe, html, langid, minhash, mixing, quality, secrets, urlfilter  # noqa: F401
+from . import bpe, hamming, html, langid, licenses, minhash, mixing, quality, secrets, urlfilter  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

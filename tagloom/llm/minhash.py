@@ -214,11 +214,12 @@ def star_pairs(hits: DataFrame) -> DataFrame:
     return hits.join(hubs, "bucket").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def crossing_pairs(hits: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs of different components that share a bucket and may still reach the similarity.
+def crossing_shingles(hits: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rarest shared shingles of the texts whose buckets span several components.
 
-    With n shingles, a of them shared with any other text in question, a link needs an overlap of
-    3/7 of both sizes, of at least 3/4 of each size, and no more than the smaller a.
+    Two texts of n and m shingles are linked by an overlap of 3/7 (n + m), where m is at least 3/4 n
+    and at least the least size in any bucket in question. Only the a shingles that another of these
+    texts holds can overlap, so one of the a - overlap + 1 rarest is shared by every link.
     """
     placed = hits.join(roots, hits.rep == roots.node, "left").select(
         "bucket", "rep", "n", F.coalesce("root", "rep").alias("comp")
@@ -232,9 +233,8 @@ def crossing_pairs(hits: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFr
     rows = rows.withColumn("rank", F.row_number().over(by_rarity)).withColumn(
         "a", F.count("*").over(Window.partitionBy("rep", "comp"))
     )
-    need = F.expr("(3 * n + 3) div 4")
-    able = (F.col("a") >= need) & (7 * F.col("a") >= 3 * (F.col("n") + F.greatest("low", need)))
-    return rows.filter(able & (F.col("rank") <= F.col("a") - need + 1)).select("rep", "comp", "n", "a", "x")
+    need = F.expr("(3 * (n + greatest(low, (3 * n + 3) div 4)) + 6) div 7")
+    return rows.filter(F.col("rank") <= F.col("a") - need + 1).select("rep", "comp", "n", "a", "rank", "x")
 
 
 def _across(prefixes: DataFrame) -> DataFrame:
@@ -245,10 +245,11 @@ def _across(prefixes: DataFrame) -> DataFrame:
         F.max(F.struct("size", "comp")).alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
     ).filter("c0 < c1").select("x", F.col("m.comp").alias("main"))
     rows = prefixes.join(main, "x")
-    ask = rows.filter("comp <> main").select("x", *[F.col(c).alias(f"{c}1") for c in ("rep", "comp", "n", "a")])
+    ask = rows.filter("comp <> main").select("x", *[F.col(c).alias(f"{c}1") for c in ("rep", "comp", "n", "a", "rank")])
+    need = F.expr("(3 * (n1 + n) + 6) div 7")
     meet = (
         (F.col("comp1") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("rep1") < F.col("rep")))
-        & (7 * F.least("a1", "a") >= 3 * (F.col("n1") + F.col("n")))
+        & (F.col("rank1") <= F.col("a1") - need + 1) & (F.col("rank") <= F.col("a") - need + 1)
     )
     pairs = ask.join(rows, "x").filter(meet)
     return pairs.select(F.least("rep1", "rep").alias("a"), F.greatest("rep1", "rep").alias("b")).distinct()
@@ -277,11 +278,11 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     hits = exploded.withColumn("met", F.count("*").over(Window.partitionBy("bucket"))).filter("met > 1")
     hits = scratch.write(hits, "hits")
     wanted = hits.select(F.col("rep").alias("id")).distinct()
-    sets = source.join(wanted, "id").select(F.col("id").alias("rep"), shingles("text").alias("s")).filter(F.size("s") > 0)
+    sets = source.join(wanted, "id").select(F.col("id").alias("rep"), shingles("text").alias("s"))
     sets = scratch.write(sets, "sets")
     links = scratch.write(confirmed(star_pairs(hits), sets), "star-links")
     roots = scratch.write(components(links, scratch, "stars"), "star-roots")
-    prefixes = scratch.write(crossing_pairs(hits, sets, roots), "prefixes")
+    prefixes = scratch.write(crossing_shingles(hits, sets, roots), "prefixes")
     more = scratch.write(confirmed(_across(prefixes), sets), "more-links")
     if not more.isEmpty():
         tree = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))

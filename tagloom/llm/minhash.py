@@ -205,6 +205,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * common >= 75 * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def _repeated(rows: DataFrame, key: str, count: str) -> DataFrame:
+    """Keys that occur twice or more; counted where they are read, so a hot key is no single task."""
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias(count)).filter(F.col(count) > 1)
+
+
 def star_pairs(hits: DataFrame) -> DataFrame:
     """Per bucket, every member paired with its hub: the member that meets most texts overall."""
     central = hits.groupBy("rep").agg(F.sum("met").alias("central"))
@@ -228,7 +233,7 @@ def crossing_shingles(hits: DataFrame, sets: DataFrame, roots: DataFrame) -> Dat
     mixed = mixed.filter("c0 < c1").select("bucket", "low")
     open_ = placed.join(mixed, "bucket").groupBy("rep", "comp").agg(F.min("low").alias("low"))
     rows = sets.join(open_, "rep").select("rep", "comp", "low", F.size("s").alias("n"), F.explode("s").alias("x"))
-    rows = rows.withColumn("df", F.count("*").over(Window.partitionBy("x"))).filter("df > 1")
+    rows = rows.join(_repeated(rows, "x", "df"), "x")
     by_rarity = Window.partitionBy("rep", "comp").orderBy("df", "x")
     rows = rows.withColumn("rank", F.row_number().over(by_rarity)).withColumn(
         "a", F.count("*").over(Window.partitionBy("rep", "comp"))
@@ -275,8 +280,7 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         "members",
     )
     exploded = members.filter("id = rep").select("rep", F.col("n").cast("int").alias("n"), F.explode("bands").alias("bucket"))
-    hits = exploded.withColumn("met", F.count("*").over(Window.partitionBy("bucket"))).filter("met > 1")
-    hits = scratch.write(hits, "hits")
+    hits = scratch.write(exploded.join(_repeated(exploded, "bucket", "met"), "bucket"), "hits")
     wanted = hits.select(F.col("rep").alias("id")).distinct()
     sets = source.join(wanted, "id").select(F.col("id").alias("rep"), shingles("text").alias("s"))
     sets = scratch.write(sets, "sets")

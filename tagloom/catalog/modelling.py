@@ -343,7 +343,7 @@ def svc_calibrated(spark, d):
 
 @query()
 def gbm(spark, d):
-    return scored(spark, d, lambda t: ln.fit_gbm(t, trees=20))
+    return scored(spark, d, ln.fit_gbm)
 
 
 @query()
@@ -380,8 +380,8 @@ def model_registry_factory(spark, d):
     registry = ln.model_registry("vec_id")
     train, test = vector_split(spark, d)
     out = None
-    for name in ("LR", "NB", "Dummy"):
-        counts = registry[name](train).transform(test).groupBy("prediction").agg(F.count("*").alias("n"))
+    for name, fit in registry.items():
+        counts = fit(train).transform(test).groupBy("prediction").agg(F.count("*").alias("n"))
         part = counts.select(F.lit(name).alias("model"), "prediction", "n")
         out = part if out is None else out.unionByName(part)
     return out
@@ -397,7 +397,7 @@ def train_and_evaluate(spark, d):
 def compare_models(spark, d):
     registry = ln.model_registry("vec_id")
     train, test = vector_split(spark, d)
-    return ln.compare_models({n: registry[n] for n in ("LR", "NB", "Dummy")}, train, test)[0]
+    return ln.compare_models(registry, train, test)[0]
 
 
 def text_rows(spark, d):

@@ -26,6 +26,10 @@ def rounded(df, *columns: str, digits: int = 4):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def rounded_vector(column: str, digits: int):
+    return F.transform(F.col(column).cast("array<double>"), lambda x: F.round(x, digits))
+
+
 # Sources and sinks
 
 @query("SELECT doc_id::VARCHAR AS apikey, text AS title, source AS section, n_chars::DOUBLE AS views FROM documents")
@@ -186,13 +190,19 @@ def save_eda_dataset(spark, d):
                       F.col("Publish_date").cast("timestamp_ntz").alias("publish_date"))
 
 
-@query(f"""WITH {q.EXPORT} SELECT c AS "column", nulls::BIGINT AS nulls, (n - nulls)::BIGINT AS non_nulls FROM (
-  SELECT count(*) AS n, count(*) - count(tags) AS "Tags", count(*) - count(post_id) AS "Post id",
-  count(*) - count(authors) AS "Authors", count(*) - count(tablet) AS "Tablet views", 0 AS "URL" FROM export)
-UNPIVOT (nulls FOR c IN ("Tags", "Post id", "Authors", "Tablet views", "URL"))""")
+_EXPORT_COLUMNS = {
+    "Apikey": "apikey", "URL": "url", "Title": "title", "Publish date": "pub", "Authors": "authors", "Section": "section",
+    "Tags": "tags", "Post id": "post_id", "Views": "price", "Avg. views": "price / 2", "Engaged minutes": "price",
+    "Avg. minutes": "price", "Desktop views": "price", "Mobile views": "price", "Tablet views": "tablet",
+}
+_NULLS = ", ".join(f'count(*) - count({x}) AS "{c}"' for c, x in _EXPORT_COLUMNS.items())
+_QUOTED = ", ".join(f'"{c}"' for c in _EXPORT_COLUMNS)
+
+
+@query(f"""WITH {q.EXPORT} SELECT c AS "column", nulls::BIGINT AS nulls, (n - nulls)::BIGINT AS non_nulls
+FROM (SELECT count(*) AS n, {_NULLS} FROM export) UNPIVOT (nulls FOR c IN ({_QUOTED}))""")
 def null_counts(spark, d):
-    e = s.export(spark, d).select("Tags", "Post id", "Authors", "Tablet views", "URL")
-    return fl.null_counts(e)
+    return fl.null_counts(s.export(spark, d))
 
 
 # Projections and scalar functions
@@ -353,9 +363,18 @@ def html_article(spark, d):
                       F.array_join("paragraphs", "\n").alias("text"))
 
 
-@query("SELECT url, 'No content container found inside <article>.' AS error FROM pages")
+@query("""SELECT url, ['No <article> tag found.', 'No content container found inside <article>.', 'No <p> text found.'][page_id % 4 + 1] AS error
+FROM pages WHERE page_id % 4 < 3""")
 def extraction_errors(spark, d):
-    return ar.extraction_errors(ar.extract_pages(s.table(spark, d, "pages")))
+    """The pages in four states: without article, without container, with an empty and with a full one."""
+    kind, box = F.col("page_id") % 4, '<article><div class="entry-content">'
+    cut = (
+        F.when(kind == 0, F.replace("html", F.lit("article"), F.lit("section")))
+        .when(kind == 1, F.col("html"))
+        .when(kind == 2, F.replace("html", F.lit("<article>"), F.lit(box + "</div>")))
+        .otherwise(F.replace("html", F.lit("<article>"), F.lit(box)))
+    )
+    return ar.extraction_errors(ar.extract_pages(s.table(spark, d, "pages").withColumn("html", cut)))
 
 
 @query(f"""WITH {PAGES} SELECT url, {PAGE_TITLE} AS title, n::INTEGER AS paragraph, t AS text FROM good JOIN art USING (page_id)""")
@@ -423,21 +442,20 @@ splits AS (SELECT vec_id, CASE WHEN r <= round(0.2 * n) THEN 'test' ELSE 'train'
   UNION ALL SELECT vec_id, 'unlabeled' FROM vecs WHERE need = 'none')"""
 
 
-@query(f"WITH {q.VECTORS}, {SPLIT} SELECT vec_id, split, round(v[1], 5) AS x0 FROM vecs JOIN splits USING (vec_id)")
+@query(f"WITH {q.VECTORS}, {SPLIT} SELECT vec_id, split, list_transform(v, lambda x: round(x, 5)) AS v FROM vecs JOIN splits USING (vec_id)")
 def split_embeddings(spark, d):
     v = s.vectors(spark, d)
     splits = pr.prepare_supervised(v.select("vec_id", "User_Needs"), "vec_id")
     out = jn.split_embeddings(v.select("vec_id", "embedding"), splits, "vec_id")
-    return out.select("vec_id", "split", F.round(F.col("embedding")[0].cast("double"), 5).alias("x0"))
+    return out.select("vec_id", "split", rounded_vector("embedding", 5).alias("v"))
 
 
-@query(f"""WITH {q.ARTICLES} SELECT doc_id, round(v.embedding[1]::DOUBLE, 5) AS x0 FROM articles a JOIN embeddings v ON a.doc_id = v.vec_id
-WHERE len(string_split(a.text, ' ')) > 50""")
+@query("""SELECT vec_id, list_transform(embedding, lambda x: round(x::DOUBLE, 5)) AS v FROM embeddings WHERE label >= 5""")
 def masked_embeddings(spark, d):
-    v = s.table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    keep = F.size(F.split("text", " ", -1)) > cfg.MIN_WORD_PIECES
-    out = jn.masked_embeddings(s.articles(spark, d), v, "doc_id", keep)
-    return out.select("doc_id", F.round(F.col("embedding")[0].cast("double"), 5).alias("x0"))
+    """Rows and vectors of one table, kept by a condition on the rows."""
+    v = s.table(spark, d, "embeddings")
+    out = jn.masked_embeddings(v.select("vec_id", "label"), v.select("vec_id", "embedding"), "vec_id", F.col("label") >= 5)
+    return out.select("vec_id", rounded_vector("embedding", 5).alias("v"))
 
 
 # Aggregations

@@ -35,6 +35,7 @@ EDA_COLUMNS = [
 ML_COLUMNS = ["URL", "Title", "text", "User_Needs"]
 DERIVED_TEXT_COLUMNS = ["combined_text", "combined_short", "clean_combined", "raw_combined"]
 
+# Limits, sizes and hyperparameters that results depend on.
 MAX_CHARS = 2000
 TITLE_WEIGHT = 3
 RAW_BODY_WORDS = 512
@@ -69,7 +70,7 @@ DISPLAY_DIMS = 2
 
 LR_MAX_ITER = 2000
 LR_TOLERANCE = 1e-4
-SVC_MAX_ITER = 100  # passes over the data, of which a subgradient method needs far fewer than a solver step count
+SVC_MAX_ITER = 5000
 SVC_TOLERANCE = 1e-3
 PENALTY_C = 1.0
 GBM_TREES = 200

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,14 +21,14 @@ BLOCK_TAGS = [
 ]
 BLOCK_START = rf"(?i)(?=</?(?:{'|'.join(BLOCK_TAGS)})[\s/>])"
 
-# Named character references; the ampersand comes last so nothing is decoded twice.
+# Frequent named character references; the ampersand comes last so nothing is decoded twice.
 ENTITIES = {
     "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&copy;": "©",
     "&middot;": "·", "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘",
     "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&hellip;": "…", "&amp;": "&",
 }
 
-# Reasons in the failures table, in the order they are tested.
+# Reasons in the failures table, in the order they are tested; the second is our own.
 NO_ARTICLE = "No <article> tag found."
 NO_CONTAINER = "No content container found inside <article>."
 NO_PARAGRAPH = "No <p> text found."
@@ -50,8 +52,23 @@ def _numeric_entities(text: Column) -> Column:
     return F.when(text.contains("&#"), F.array_join(pieces, "")).otherwise(text)
 
 
+def _named_entities(text: Column) -> Column:
+    """References of the HTML5 table beyond the frequent ones, which are left for later."""
+    frequent = [name[1:] for name in ENTITIES]
+    rest = [(name, char) for name, char in sorted(html5.items()) if name.endswith(";") and name not in frequent]
+    table = F.create_map(*[F.lit(x) for pair in rest for x in pair])
+
+    def decode(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^&([a-zA-Z][a-zA-Z0-9]*;)", 1)
+        char = F.when((name != "") & ~name.isin(*frequent), F.try_element_at(table, name))
+        return F.when(char.isNull(), piece).otherwise(F.concat(char, F.substr(piece, F.length(name) + 2)))
+
+    pieces = F.transform(F.split(text, "(?=&)"), decode)
+    return F.when(text.rlike("&[a-zA-Z]"), F.array_join(pieces, "")).otherwise(text)
+
+
 def unescape(text: Column) -> Column:
-    text = _numeric_entities(text)
+    text = _named_entities(_numeric_entities(text))
     for name, char in ENTITIES.items():
         text = F.replace(text, F.lit(name), F.lit(char))
     return text

@@ -15,15 +15,17 @@ from .joins import merge_article_text
 def filter_articles(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Article rows in ``[start, end)`` with ``Publish_date`` and ``User_Needs`` attached.
 
-    The export's date text sorts like the date, so the bounds are also applied to the text; that
-    form reaches the scan, while the parsed date keeps the result exact.
+    The export's date text sorts like the date, so the bounds, whatever way they are written, are
+    also applied to the text in its own format; that form reaches the scan, while the parsed date
+    keeps the result exact.
     """
+    stored = "yyyy-MM-dd HH:mm"
     out = df.where(F.col("`Post id`").isNotNull())
     if start:
-        out = out.where(F.col("`Publish date`") >= F.lit(start))
+        out = out.where(F.col("`Publish date`") >= F.date_format(F.lit(start).cast("timestamp"), stored))
     if end:
-        out = out.where(F.col("`Publish date`") < F.lit(end))
-    out = out.withColumn("Publish_date", F.to_timestamp("`Publish date`", "yyyy-MM-dd HH:mm"))
+        out = out.where(F.col("`Publish date`") <= F.date_format(F.lit(end).cast("timestamp"), stored))
+    out = out.withColumn("Publish_date", F.to_timestamp("`Publish date`", stored))
     if start:
         out = out.where(F.col("Publish_date") >= F.lit(start).cast("timestamp"))
     if end:

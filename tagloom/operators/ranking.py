@@ -61,6 +61,15 @@ def _slice_starts(sliced: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def _join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null is a group of its own."""
+    right = right.withColumnsRenamed({k: f"__g{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & tx.col(k).eqNullSafe(F.col(f"__g{i}"))
+    return left.join(right, same, how).drop(*[f"__g{i}" for i in range(len(keys))])
+
+
 def _rank_within(by: Sequence[str], key: str) -> Column:
     return F.row_number().over(Window.partitionBy(*by, "__slice").orderBy("__hash", key))
 
@@ -69,7 +78,7 @@ def hash_rank(df: DataFrame, by: Sequence[str], key: str, seed: int = cfg.SEED)
     """Exact 1-based ``hash_rank`` in hash order within each group, plus ``group_size``."""
     sliced = _sliced(df, key, seed)
     starts = _slice_starts(sliced, by).drop("__in_slice")
-    ranked = sliced.withColumn("__r", _rank_within(by, key)).join(starts, [*by, "__slice"])
+    ranked = _join_groups(sliced.withColumn("__r", _rank_within(by, key)), starts, [*by, "__slice"])
     return ranked.withColumn("hash_rank", F.col("__before") + F.col("__r")).drop(
         "__hash", "__slice", "__before", "__r"
     )
@@ -84,7 +93,7 @@ def ordered_rank(df: DataFrame, by: Sequence[str], order: str, slice_of: Column,
     sliced = df.withColumn("__slice", slice_of)
     starts = _slice_starts(sliced, by).select(*by, "__slice", "__before")
     within = F.row_number().over(Window.partitionBy(*by, "__slice").orderBy(order))
-    ranked = sliced.withColumn("__r", within).join(starts, [*by, "__slice"])
+    ranked = _join_groups(sliced.withColumn("__r", within), starts, [*by, "__slice"])
     return ranked.withColumn(rank, F.col("__before") + F.col("__r")).drop("__slice", "__before", "__r")
 
 
@@ -101,7 +110,7 @@ def hash_mark(df: DataFrame, by: Sequence[str], key: str, take: Column, flag: st
         (F.col("__before") < F.col("__take")) & (F.col("__take") <= F.col("__before") + F.col("__in_slice"))
     ).select(*by, "__slice", (F.col("__take") - F.col("__before")).alias("__nth"))
     last = (
-        narrow.join(edge, [*by, "__slice"])
+        _join_groups(narrow, edge, [*by, "__slice"])
         .withColumn("__r", _rank_within(by, key))
         .where(F.col("__r") == F.col("__nth"))
         .select(*by, F.struct("__hash", tx.col(key).alias("__key")).alias("__last"))
@@ -109,7 +118,7 @@ def hash_mark(df: DataFrame, by: Sequence[str], key: str, take: Column, flag: st
     sizes = starts.groupBy(*by).agg(F.max("group_size").alias("group_size"))
     here = F.struct(hash_key(key, seed).alias("__hash"), tx.col(key).alias("__key"))
     if by:
-        out = df.join(settled(sizes.join(last, list(by), "left")), list(by))
+        out = _join_groups(df, settled(_join_groups(sizes, last, by, "left")), by)
     else:
         out = df.withColumns(
             {"group_size": sizes.select("group_size").scalar(), "__last": last.select("__last").scalar()}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..scratch import settled
+from ..scratch import Scratch, settled
 
 # Noun endings and their replacements, in the order they are tried.
 NOUN_ENDINGS = [
@@ -68,43 +68,55 @@ def lemma_map(tokens: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     return found.groupBy("token").agg(F.min("c").alias("c")).select("token", "c.lemma")
 
 
-def lemmatized_rows(df: DataFrame, key: str, columns: Sequence[str], lexicon: DataFrame | None = None,
-                    stop_words=None) -> DataFrame:
-    rows = token_rows(df, key, columns, stop_words)
-    lemmas = settled(lemma_map(rows, lexicon))
-    # Only words with a noun ending can change. The others get one of many keys that match nothing,
-    # so they neither meet in one task nor need a second reading of the texts.
-    other = F.concat(F.lit("|"), F.pmod(F.xxhash64(key, "pos"), F.lit(4096)))
-    word = F.when(F.col("token").rlike("(s|men)$"), F.col("token")).otherwise(other)
-    joined = rows.withColumn("__word", word).join(
-        lemmas.select(F.col("token").alias("__word"), "lemma"), "__word", "left"
+CHANGING = "(s|men)$"  # only words with a noun ending can have another lemma
+
+
+def _with_lemmas(arrays: DataFrame, key: str, names: Sequence[str], lexicon: DataFrame | None) -> DataFrame:
+    """Token arrays with every token replaced by its lemma, in place.
+
+    Only the distinct words of a document that can change are looked up. The hits, a few per
+    document, come back as one map to the document's row; no other token is ever moved.
+    """
+    every = F.flatten(F.array(*names))
+    vocabulary = arrays.select(F.explode(F.array_distinct(every)).alias("token"))
+    lemmas = settled(lemma_map(vocabulary, lexicon))
+    asked = F.array_distinct(F.filter(every, lambda t: t.rlike(CHANGING)))
+    words = arrays.select(F.col(key).alias("__key"), F.explode(asked).alias("token"))
+    hits = words.join(lemmas, "token").groupBy("__key").agg(
+        F.map_from_entries(F.collect_set(F.struct("token", "lemma"))).alias("__lemmas")
     )
-    return joined.select(key, "part", "pos", F.coalesce("lemma", "token").alias("token"))
+
+    def replaced(name: str) -> Column:
+        def lemma(t: Column) -> Column:
+            return F.when(t.rlike(CHANGING), F.coalesce(F.try_element_at("__lemmas", t), t)).otherwise(t)
+
+        return F.when(F.col("__lemmas").isNull(), F.col(name)).otherwise(F.transform(name, lemma)).alias(name)
+
+    out = arrays.join(hits, F.col(key).eqNullSafe(F.col("__key")), "left")
+    return out.select(*[tx.col(c) for c in arrays.columns if c not in names], *[replaced(n) for n in names])
 
 
 def token_arrays(df: DataFrame, key: str, columns: Sequence[str], lexicon: DataFrame | None = None,
                  stop_words=None, keep: Sequence[str] = ()) -> DataFrame:
-    """``<column>_tokens`` per key, lemmatised and in text order; empty texts give empty arrays.
+    """``<column>_tokens`` per row, lemmatised and in text order; empty texts give empty arrays.
 
-    The single exchange on the key is the one every per-document step afterwards relies on.
+    Texts are read and cleaned once; what they yield is written, for the lemma job and for the rows.
     """
-    rows = lemmatized_rows(df, key, columns, lexicon, stop_words)
-    entry = F.struct("part", "pos", "token")
-    # A row per document keeps those without any token and carries the wanted columns along.
-    base = df.select(
-        tx.col(key).alias(key), F.lit(None).cast(rows.select(entry.alias("e")).schema["e"].dataType).alias("e"),
-        *[tx.col(c).alias(c) for c in keep],
-    )
-    filler = [F.lit(None).cast(dict(base.dtypes)[c]).alias(c) for c in keep]
-    stacked = base.unionByName(rows.select(key, entry.alias("e"), *filler))
-    grouped = stacked.groupBy(key).agg(
-        F.array_sort(F.collect_list("e")).alias("__e"), *[F.max(c).alias(c) for c in keep]
+    names = [f"{c}_tokens" for c in columns]
+    arrays = df.select(
+        tx.col(key).alias(key), *[tx.col(c).alias(c) for c in keep if c != key],
+        *[tx.clean_tokens(c, stop_words).alias(n) for c, n in zip(columns, names)],
     )
-    def part(number: int) -> Column:
-        return F.transform(F.filter("__e", lambda e: e["part"] == number), lambda e: e["token"])
+    arrays = Scratch(df.sparkSession, "tokens").write(arrays, "arrays")
+    return _with_lemmas(arrays, key, names, lexicon).select(key, *keep, *names)
 
-    parts = {f"{name}_tokens": part(number) for number, name in enumerate(columns)}
-    return grouped.withColumns(parts).drop("__e")
+
+def lemmatized_rows(df: DataFrame, key: str, columns: Sequence[str], lexicon: DataFrame | None = None,
+                    stop_words=None) -> DataFrame:
+    """``(key, part, pos, token)`` of the lemmatised tokens; positions count content words."""
+    arrays = token_arrays(df, key, columns, lexicon, stop_words)
+    parts = F.posexplode(F.array(*[f"`{c}_tokens`" for c in columns])).alias("part", "__tokens")
+    return arrays.select(key, parts).select(key, "part", F.posexplode("__tokens").alias("pos", "token"))
 
 
 def clean_text(df: DataFrame, key: str, text: str = "text", lexicon: DataFrame | None = None,

@@ -10,8 +10,8 @@ from ..operators.articles import extract_pages
 from ..scratch import checkpoint_root
 
 PAGE_SCHEMA = "page_id long, url string, html string"
-_SUCCESS = "url string, title string, paragraphs array<string>, batch_id long"
-_FAILURE = "url string, error string, batch_id long"
+_SUCCESS = "url string, title string, paragraphs array<string>, attempt long, batch_id long"
+_FAILURE = "url string, error string, attempt long, batch_id long"
 
 
 class IncrementalExtract:
@@ -39,8 +39,8 @@ class IncrementalExtract:
         return self._read("successes", _SUCCESS)
 
     def failures(self) -> DataFrame:
-        """Failures whose URL has not succeeded since."""
-        failed = self._read("failures", _FAILURE).groupBy("url").agg(F.max_by("error", "batch_id").alias("error"))
+        """Latest failure of every URL that has not succeeded since."""
+        failed = self._read("failures", _FAILURE).groupBy("url").agg(F.max_by("error", "attempt").alias("error"))
         return failed.join(self.successes().select("url"), "url", "left_anti")
 
     def paragraphs(self) -> DataFrame:
@@ -48,8 +48,14 @@ class IncrementalExtract:
             "url", "title", (F.col("pos") + 1).alias("paragraph"), "text"
         )
 
-    def _write(self, rows: DataFrame, table: str, batch_id: int) -> None:
-        rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
+    def _batches(self) -> DataFrame:
+        tables = (("successes", _SUCCESS), ("failures", _FAILURE))
+        first, second = (self._read(*t).select("batch_id", "attempt") for t in tables)
+        return first.unionByName(second)
+
+    def _write(self, rows: DataFrame, table: str, batch_id: int, attempt: int) -> None:
+        """Rows of one batch; attempts number the batches in the order they were worked on."""
+        rows.withColumns({"attempt": F.lit(attempt).cast("long"), "batch_id": F.lit(batch_id).cast("long")}).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("batch_id").parquet(f"{self.out}/{table}")
 
@@ -57,11 +63,12 @@ class IncrementalExtract:
         done = self.successes().where(F.col("batch_id") != batch_id).select("url")
         todo = pages.where(F.col("url").isNotNull()).join(done, "url", "left_anti")
         latest = todo.groupBy("url").agg(F.max_by("html", "page_id").alias("html"))
+        attempt = 1 + (self._batches().where(F.col("batch_id") != batch_id).agg(F.max("attempt")).first()[0] or 0)
         extracted = extract_pages(latest, self.container).persist()
         try:
             good = extracted.where(F.col("error").isNull()).select("url", "title", "paragraphs")
-            self._write(good, "successes", batch_id)
-            self._write(extracted.where(F.col("error").isNotNull()).select("url", "error"), "failures", batch_id)
+            self._write(good, "successes", batch_id, attempt)
+            self._write(extracted.where(F.col("error").isNotNull()).select("url", "error"), "failures", batch_id, attempt)
         finally:
             extracted.unpersist()
 
@@ -83,9 +90,7 @@ class IncrementalExtract:
     def retry(self, pages: DataFrame) -> IncrementalExtract:
         """Try the failed URLs again on newer stored pages; each retry is a batch below zero."""
         failed = self.failures().select("url")
-        low = self._read("successes", _SUCCESS).select("batch_id").unionByName(
-            self._read("failures", _FAILURE).select("batch_id")
-        ).agg(F.min("batch_id")).first()[0]
+        low = self._batches().agg(F.min("batch_id")).first()[0]
         self._batch(pages.join(failed, "url", "left_semi"), min(low or 0, 0) - 1)
         return self
 

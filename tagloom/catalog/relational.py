@@ -40,7 +40,7 @@ def read_export(spark, d):
         F.col("source").alias("Section"), F.col("n_chars").cast("double").alias("Views"),
     )
     tb.write_articles(rows, out, "csv")
-    back = tb.read_export(spark, out, rows.columns)
+    back = tb.read_export(spark, out, rows.columns, multi_line=True)
     return back.select(F.col("Apikey").alias("apikey"), F.col("Title").alias("title"),
                        F.col("Section").alias("section"), F.col("Views").alias("views"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as cfg
-from ..scratch import Scratch
+from ..scratch import Scratch, settled
 from .aggregates import label_topic_crosstab
 from .features import ctfidf, top_words
 from .joins import label_topk_topics
@@ -61,14 +61,19 @@ class NmfTopics:
         return top_words(self.topics, "topic", n)
 
 
+MAX_TERMS = 1_000_000  # a model of topics × vocabulary must fit the driver
+
+
 def index_terms(weights: DataFrame) -> DataFrame:
-    """``(term, term_idx)``; the vocabulary behind the weights is bounded by its ``max_features``."""
-    number = F.row_number().over(Window.orderBy("term")) - 1
-    return weights.select("term").distinct().select("term", number.alias("term_idx"))
+    """``(term, term_idx)`` of a vocabulary that is refused beyond MAX_TERMS."""
+    terms = settled(weights.select("term").distinct())
+    if terms.count() > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} terms: bound the vocabulary with max_features")
+    return terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("term_idx"))
 
 
 def pack_documents(weights: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-    indexed = weights.join(F.broadcast(vocab), "term")
+    indexed = weights.join(vocab, "term")  # the vocabulary is written, so its size decides how
     packed = indexed.groupBy(key).agg(F.collect_list(F.struct("term_idx", "weight")).alias("e"))
     return packed.select(key, F.col("e.term_idx").alias("idx"), F.col("e.weight").alias("val"))
 

@@ -19,8 +19,11 @@ EXPORT_SCHEMA = T.StructType(
 )
 
 
-def read_export(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
-    """Metrics export with a header row; quoted fields may hold line breaks.
+def read_export(spark: SparkSession, path: str, header: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """Metrics export with a header row.
+
+    With ``multi_line`` quoted fields may hold line breaks; such a file is read by one task, any
+    other one is split.
 
     ``header`` names all columns of the file in order when it has more than those of
     ``EXPORT_SCHEMA``; unknown ones are read as text and pruned when unused.
@@ -30,7 +33,7 @@ def read_export(spark: SparkSession, path: str, header: list[str] | None = None)
         [known.get(c, T.StructField(c, T.StringType())) for c in header]
     )
     return (
-        spark.read.schema(schema).option("header", True).option("multiLine", True)
+        spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
         .option("escape", '"').option("mode", "FAILFAST").csv(path)
     )
 
@@ -56,9 +59,12 @@ def write_articles(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
 
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Rows added to a table, which is created by the first of them; no rows write nothing."""
-    if df.isEmpty():
-        return
-    _csv_options(df.write.mode("append").format(fmt), fmt).save(path)
+    rows = df.persist()  # computed once for the question and for the write
+    try:
+        if not rows.isEmpty():
+            _csv_options(rows.write.mode("append").format(fmt), fmt).save(path)
+    finally:
+        rows.unpersist()
 
 
 def append_run_log(runs: DataFrame, path: str) -> None:

@@ -15,15 +15,18 @@ from itertools import takewhile
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import Scratch
+from .batches import bound_batches
 from .registry import query, table
 
 CHUNK = 1 << 15  # characters from the start of a chunk to the start of the next
 OVERLAP = 1 << 10  # characters of the next chunk that a chunk also holds
+SLICE = 256  # values that leave a task's Python process at a time
 MAX_BLANKS = 100_000  # longer runs of white space exceed the stack of the library's pattern engine
 
 
@@ -41,9 +44,12 @@ class Codec:
         import tiktoken
 
         merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-        options = {"mergeable_ranks": merges, "special_tokens": {}}
-        self.encode = tiktoken.Encoding("ranks", pat_str=pattern, **options).encode_ordinary
-        self.encode_one = tiktoken.Encoding("single", pat_str=r"(?s).+", **options).encode_ordinary
+
+        def encoder(split: str):
+            return tiktoken.Encoding("ranks", pat_str=split, mergeable_ranks=merges, special_tokens={}).encode_ordinary
+
+        self.encode = lru_cache(None)(lambda: encoder(pattern))  # built by those who encode
+        self.encode_one = lru_cache(None)(lambda: encoder(r"(?s).+"))
         self.pattern = regex.compile(pattern)
         self.blanks = regex.compile(r"\s{%d,}" % MAX_BLANKS)
         self.tokens = [b""] * (max(merges.values()) + 1)
@@ -53,9 +59,9 @@ class Codec:
     def ids(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
         if len(text) >= MAX_BLANKS and self.blanks.search(text):
-            found = [i for m in self.pattern.finditer(text) for i in self.encode_one(m[0])]
+            found = [i for m in self.pattern.finditer(text) for i in self.encode_one()(m[0])]
         else:
-            found = self.encode(text)
+            found = self.encode()(text)
         return np.array(found, dtype="<u4").tobytes()
 
     def raw(self, ids: bytes) -> bytes:
@@ -80,6 +86,7 @@ class Tokenizer:
     def __init__(self, spark: SparkSession, path: str | None = None, pattern: str | None = None):
         import public_tokenizers
 
+        bound_batches(spark)
         with open(path or default_ranks(), "rb") as f:
             self.ranks = spark.sparkContext.broadcast(f.read())
         self.pattern = pattern or public_tokenizers.PATTERN
@@ -89,15 +96,20 @@ class Tokenizer:
         return lambda: _codec(ranks.value, pattern)
 
 
+def _sliced(parts: Iterator[pa.Array], work: Callable) -> Iterator[pa.Array]:
+    """``work`` on every value, handed on in slices, so that no batch of results piles up."""
+    for part in parts:
+        for at in range(0, len(part), SLICE):
+            yield pa.array([work(x) if x else b"" for x in part.slice(at, SLICE).to_pylist()], pa.binary())
+
+
 def encode_texts(tokenizer: Tokenizer, text: Column) -> Column:
     """Ids of each text as packed little-endian 32-bit integers; null counts as empty."""
     codec = tokenizer.codec()
 
-    @F.pandas_udf(T.BinaryType())
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids = codec().ids
-        for part in parts:
-            yield pd.Series([ids(t) if t else b"" for t in part], dtype=object)
+    @F.arrow_udf(T.BinaryType())
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _sliced(parts, codec().ids)
 
     return run(text)
 
@@ -106,11 +118,9 @@ def decode_ids(tokenizer: Tokenizer, ids: Column) -> Column:
     """Raw bytes of packed ids; null counts as no ids."""
     codec = tokenizer.codec()
 
-    @F.pandas_udf(T.BinaryType())
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        raw = codec().raw
-        for part in parts:
-            yield pd.Series([raw(x) if x else b"" for x in part], dtype=object)
+    @F.arrow_udf(T.BinaryType())
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _sliced(parts, codec().raw)
 
     return run(ids)
 

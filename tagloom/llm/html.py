@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import bound_batches
 from .registry import query, table
 
 TAG = re.compile(
@@ -241,6 +242,7 @@ def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
     between them. A null or empty page, and one of nothing but noise, has an empty text. Rows are
     read one by one, whole pages however long; repeated rows stay.
     """
+    bound_batches(pages.sparkSession)
     out = pages.withColumn("text", _main_texts(F.col(f"`{html}`").cast("string")))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import Scratch, settled
+from .batches import bound_batches
 from .registry import query, table
 
 ORDER = 3
@@ -206,6 +207,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     A text that is null or has no letter is ``und`` with score 0, and so is every text if the model
     learned nothing. Rows are judged one by one from their text alone.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(VERDICT)

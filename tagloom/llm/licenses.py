@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import bound_batches
 from .registry import query, table
 
 THRESHOLD = 0.8
@@ -173,6 +174,7 @@ def scanned(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
                 [dict(zip(("license", "dice", "kind", "start", "end"), x)) for x in scan(t)] for t in part
             ], dtype=object)
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn("licenses", run(F.col(f"`{text}`").cast("string")))
 
 

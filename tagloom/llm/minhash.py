@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import Scratch
+from .batches import bound_batches
 from .registry import query, table
 
 WORDS = 5  # words of a shingle
@@ -270,6 +271,7 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     null component, and is kept. Rows that repeat a key are one node; each row shows the component
     of its own text. ``key`` must be a long; other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "minhash")
     source = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     base = scratch.write(source.select("id", sketch("text").alias("s")).select("id", "s.*"), "sketches")

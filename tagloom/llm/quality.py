@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import bound_batches
 from .registry import query, table
 
 WINDOW = 8
@@ -129,6 +130,7 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     A null or empty text measures 0 throughout and fails ``few_words``. Rows are judged one by one:
     repeated rows and ids stay, no shuffle is needed.
     """
+    bound_batches(docs.sparkSession)
     struct = "quality rule measurements"
     out = docs.withColumn(struct, measures(F.col(f"`{text}`").cast("string")))
     out = out.withColumns({m: F.col(f"`{struct}`.{m}") for m in MEASURES}).drop(struct)

@@ -55,7 +55,7 @@ def test_very_long_blanks(spark):
 
 
 def bpe_direct(codec, text):
-    return [i for m in codec.pattern.finditer(text) for i in codec.encode_one(m[0])]
+    return [i for m in codec.pattern.finditer(text) for i in codec.encode_one()(m[0])]
 
 
 def test_query_over_documents(spark, library):

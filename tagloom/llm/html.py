@@ -52,31 +52,38 @@ NOISE_WORDS = frozenset(
     "related recommended recommendations pagination pager toolbar widget widgets comment comments commentlist disqus "
     "respond replies skip outbrain taboola".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies".split())
 HEADINGS = frozenset("header masthead banner".split())  # noise unless inside the article
+CONTENT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre ul ol dl figure table section".split())
+OFF, DOUBTFUL = 2, 1  # noise for certain; noise by a class or id unless it holds most of the page
 WORD = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _noise(name: str, attrs: str, inside: bool) -> bool:
+def _noise(name: str, attrs: str, inside: bool) -> int:
     """Whether an element is no part of any article, by its name, role, classes or id."""
     if name in NOISE_TAGS or (name == "header" and not inside):
-        return True
-    if not attrs or name in ("html", "body", "article", "main"):
-        return False
+        return OFF
+    if not attrs or name in ("html", "body"):
+        return 0
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attrs)}
     if found.get("role", "").lower() in NOISE_ROLES or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return OFF
     if HIDDEN.search(found.get("style", "")) or re.search(r"(?:^|\s)hidden(?=[\s/]|$)", attrs):
-        return True
+        return OFF
     words = set(WORD.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    return bool(words & NOISE_WORDS) and not (inside and words & HEADINGS)
+    if words & COMMENT_WORDS and name != "main":
+        return OFF
+    if not words & NOISE_WORDS or name in ("article", "main") or (inside and words & HEADINGS):
+        return 0
+    return DOUBTFUL
 
 
 class Page:
     """Blocks of one page, numbered in page order; a parent comes before its children."""
 
     def __init__(self, html: str):
-        self.parent, self.name, self.noise = [-1], ["html"], [False]
+        self.parent, self.name, self.noise = [-1], ["html"], [0]
         self.chars, self.tags, self.link_chars, self.link_tags = [0], [0], [0], [0]
         self.pieces: list[tuple[int, int, str]] = []  # node, run of text between block borders, text
         self._read(html)
@@ -148,7 +155,7 @@ class Page:
             if name in ("article", "main"):
                 for _, node, _, _ in stack:
                     if self.name[node] in ("form", "fieldset"):
-                        self.noise[node] = False
+                        self.noise[node] = 0
             noise = _noise(name, attrs, stack[-1][3])
             _, node, link, _ = stack[-1]
             if name in BLOCKS or noise:
@@ -168,14 +175,30 @@ class Page:
             if not attrs.endswith("/") or name in BLOCKS:
                 stack.append((name, node, link or name == "a", inside))
 
+    def _off(self) -> list[bool]:
+        """Blocks inside noise. A doubtful one that holds most of a page without an article is none."""
+        n = len(self.parent)
+        sure, off = [False] * n, [False] * n
+        for i in range(n):
+            up = self.parent[i]
+            sure[i] = self.noise[i] == OFF or (i > 0 and sure[up])
+            off[i] = self.noise[i] > 0 or (i > 0 and off[up])
+        if any(self.name[i] in ("article", "main") and not off[i] for i in range(n)):
+            return off
+        size = [0 if sure[i] else self.chars[i] - self.link_chars[i] for i in range(n)]
+        for i in range(n - 1, 0, -1):
+            size[self.parent[i]] += size[i]
+        for i in range(n):
+            doubt = self.noise[i] == DOUBTFUL and 2 * size[i] <= size[0]
+            off[i] = sure[i] or doubt or (i > 0 and off[self.parent[i]])
+        return off
+
     def main_nodes(self) -> list[bool]:
         """Which blocks belong to the main text."""
         n = len(self.parent)
-        off = list(self.noise)
+        off = self._off()
         body_links = sum(self.link_chars)
         body_chars = max(1, sum(self.chars))
-        for i in range(1, n):
-            off[i] = off[i] or off[self.parent[i]]
         c, t, lc, lt = ([0 if off[i] else x[i] for i in range(n)] for x in (self.chars, self.tags, self.link_chars, self.link_tags))
         has_child = [False] * n
         for i in range(n - 1, 0, -1):
@@ -201,10 +224,13 @@ class Page:
         article = [i for i in path if self.name[i] == "article"] or [i for i in path if self.name[i] == "main"]
         threshold = min(density[i] for i in path)
         roots = {article[-1] if article else best}
-        if not article:  # what else on the way is as dense as the body and carries a share of the text
-            for i in range(1, n):
-                if self.parent[i] in path and i not in path and density[i] >= threshold and 4 * total[i] >= total[best]:
-                    roots.add(i)
+        if not article:  # what else on the way is as dense as the body and carries a share of the text,
+            for i in range(1, n):  # and the headings, lists and paragraphs right beside the best subtree
+                if self.parent[i] in path and i not in path and c[i]:
+                    dense = density[i] >= threshold and 4 * total[i] >= total[best]
+                    beside = best and self.parent[i] == self.parent[best] and self.name[i] in CONTENT_TAGS
+                    if dense or (beside and 10 * lc[i] <= 3 * c[i]):
+                        roots.add(i)
         keep = [False] * n
         for i in range(n):
             keep[i] = (i in roots or (i > 0 and keep[self.parent[i]])) and not off[i]

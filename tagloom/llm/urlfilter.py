@@ -57,7 +57,7 @@ ADDRESSES = (
     Rule.address("com", "/de/", "block"),
 )
 WORDS = tuple(Rule.word(w, "block") for w in (
-    "casino", "poker", "betting", "pills", "viagra", "porn", "xxx", "spam", "malware", "phishing", "ads", "track", "tracker",
+    "casino", "poker", "bet", "bets", "betting", "pills", "viagra", "porn", "adult", "xxx", "spam", "malware", "phishing", "ads", "track", "tracker",
 ))
 
 

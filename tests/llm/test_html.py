@@ -28,6 +28,10 @@ COMMENTS = f"<section id='comments'><article class='comment'><p>{PROSE} {PROSE}<
     (page(f"<main><p>{PROSE}</p><aside>{PROSE}</aside><form>Mail <input></form></main>", "<header><h1>Site</h1></header>"), PROSE),
     (f"<p>{PROSE}", PROSE), ("plain &lt;b&gt; text", "plain <b> text"), ("", ""), (None, ""), ("<nav>only</nav>", ""), ("<p", ""),
     (page(f"<article><!-- c > d --><p title='a > b'>x&nbsp;\n y &eacute;&#8364;&#x41;</p><style>p{{}}</style><p hidden>no</p></article>"), "x y é€A"),
+    (page(f"<div id=c><h2>Head</h2><div><p>{PROSE}</p></div><div><p>{PROSE} {PROSE}</p><p>Short.</p></div></div>", MENU, FOOT),
+     f"Head\n\n{PROSE}\n\n{PROSE} {PROSE}\n\nShort."),
+    (page(f"<div class='page-widget'><p>{PROSE}</p><p>{PROSE}</p></div>", NAV, "<div class='related'>Read this too</div>"), f"{PROSE}\n\n{PROSE}"),
+    (page(f"<p>{PROSE}</p>", "", f"<div class='comments'><p>{PROSE} {PROSE}</p></div><div id='sidebar'>About us</div>"), PROSE),
     (page(f"<form><article><p>{PROSE}</p></article></form>"), PROSE),
 ])
 def test_pages(html, text):

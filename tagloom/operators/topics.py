@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import config as cfg
 from ..scratch import Scratch, settled
 from .aggregates import label_topic_crosstab
+from .blocks import key_type
 from .features import ctfidf, top_words
 from .joins import label_topk_topics
 
@@ -55,7 +56,7 @@ class NmfTopics:
 
         self_key = self._key
         packed = pack_documents(weights, self.vocab, self._key)
-        return packed.mapInPandas(factors, f"{self_key} long, topics array<double>")
+        return packed.mapInPandas(factors, f"`{self_key}` {key_type(weights, self_key)}, topics array<double>")
 
     def top_words(self, n: int = 12) -> DataFrame:
         return top_words(self.topics, "topic", n)

@@ -24,6 +24,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_WRITTEN: list[str] = []
+
+
+def _delete(spark: SparkSession, location: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove every working table this process has written; frames that read them are void then."""
+    while _WRITTEN:
+        _delete(spark, _WRITTEN.pop())
+
+
 class Scratch:
     """Named Parquet tables of one run below the checkpoint folder.
 
@@ -34,6 +48,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        _WRITTEN.append(self.path)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}")
@@ -45,9 +60,7 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Remove a table of a finished iteration round."""
-        path_type = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        path = path_type(f"{self.path}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, f"{self.path}/{name}")
 
 
 def settled(df: DataFrame) -> DataFrame:

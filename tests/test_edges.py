@@ -1,11 +1,15 @@
 """Cases that once gave wrong answers: bounds in other forms, null labels, entities, retries."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tagloom.functions import html as hx
 from tagloom.operators import filters as fl
 from tagloom.operators import ranking as rk
 from tagloom.operators import tokens as tk
+from tagloom.operators.blocks import knn_graph, silhouette
+from tagloom.operators.clustering import density_clusters
+from tagloom.scratch import Scratch, clean
 from tagloom.streaming.incremental import IncrementalExtract
 
 
@@ -64,3 +68,25 @@ def test_no_token_is_shuffled_by_itself(spark):
     df = spark.createDataFrame([(1, "cities and towns", "t")], "id long, text string, Title string")
     plan = tk.token_arrays(df, "id", ["Title", "text"])._jdf.queryExecution().optimizedPlan().toString()
     assert "posexplode" not in plan
+
+
+def test_string_keys(spark):
+    rows = [(f"u{i:02d}", [float(i // 20) * 9, float(i % 20) / 10], i // 20) for i in range(40)]
+    df = spark.createDataFrame(rows, "url string, v array<double>, c long")
+    by_id = df.withColumn("id", F.substring("url", 2, 2).cast("long"))
+    near = {(r["url"], r["rank"], r["neighbour"]) for r in knn_graph(df, "url", "v", 3, ("euclidean",)).collect()}
+    same = {(f"u{r['id']:02d}", r["rank"], f"u{r['neighbour']:02d}") for r in knn_graph(by_id, "id", "v", 3, ("euclidean",)).collect()}
+    assert near == same
+    assert silhouette(df, "url", "v", "c").first()[0] == pytest.approx(silhouette(by_id, "id", "v", "c").first()[0])
+    found = density_clusters(df, "url", "v", 0.3, 5, 3)
+    assert {r["cluster"]: r["count"] for r in found.groupBy("cluster").count().collect()} == {"u00": 20, "u20": 20}
+
+
+def test_working_tables_can_be_removed(spark):
+    import os
+
+    table = Scratch(spark, "edge").write(spark.range(3), "t")
+    path = table.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    clean(spark)
+    assert not os.path.exists(path)

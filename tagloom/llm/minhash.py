@@ -243,14 +243,16 @@ def crossing_shingles(hits: DataFrame, sets: DataFrame, roots: DataFrame) -> Dat
     return rows.filter(F.col("rank") <= F.col("a") - need + 1).select("rep", "comp", "n", "a", "rank", "x")
 
 
-def _across(prefixes: DataFrame) -> DataFrame:
-    """Pairs across components over written prefixes; the largest component of a shingle only answers."""
+def _across(prefixes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs across components over written prefixes; the largest component of a shingle only answers.
+
+    What each step joins is written first: Spark can then split a shingle that many texts share.
+    """
     sizes = prefixes.select("rep", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size"))
-    rows = prefixes.join(sizes, "comp")
-    main = rows.groupBy("x").agg(
-        F.max(F.struct("size", "comp")).alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
-    ).filter("c0 < c1").select("x", F.col("m.comp").alias("main"))
-    rows = prefixes.join(main, "x")
+    held = prefixes.groupBy("x", "comp").agg(F.lit(1).alias("one")).join(sizes, "comp")
+    main = held.groupBy("x").agg(F.count("*").alias("comps"), F.max(F.struct("size", "comp")).alias("m"))
+    main = scratch.write(main.filter("comps > 1").select("x", F.col("m.comp").alias("main")), "mixed-shingles")
+    rows = scratch.write(prefixes.join(main, "x"), "mixed-prefixes")
     ask = rows.filter("comp <> main").select("x", *[F.col(c).alias(f"{c}1") for c in ("rep", "comp", "n", "a", "rank")])
     need = F.expr("(3 * (n1 + n) + 6) div 7")
     meet = (
@@ -289,7 +291,7 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     links = scratch.write(confirmed(star_pairs(hits), sets), "star-links")
     roots = scratch.write(components(links, scratch, "stars"), "star-roots")
     prefixes = scratch.write(crossing_shingles(hits, sets, roots), "prefixes")
-    more = scratch.write(confirmed(_across(prefixes), sets), "more-links")
+    more = scratch.write(confirmed(_across(prefixes, scratch), sets), "more-links")
     if not more.isEmpty():
         tree = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = scratch.write(components(tree.unionByName(more), scratch, "all"), "roots")

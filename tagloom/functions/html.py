@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -55,8 +56,8 @@ def _numeric_entities(text: Column) -> Column:
 def _named_entities(text: Column) -> Column:
     """References of the HTML5 table beyond the frequent ones, which are left for later."""
     frequent = [name[1:] for name in ENTITIES]
-    rest = [(name, char) for name, char in sorted(html5.items()) if name.endswith(";") and name not in frequent]
-    table = F.create_map(*[F.lit(x) for pair in rest for x in pair])
+    rest = {name: char for name, char in sorted(html5.items()) if name.endswith(";") and name not in frequent}
+    table = F.from_json(F.lit(json.dumps(rest)), "map<string,string>")  # folded into one literal
 
     def decode(piece: Column) -> Column:
         name = F.regexp_extract(piece, r"^&([a-zA-Z][a-zA-Z0-9]*;)", 1)

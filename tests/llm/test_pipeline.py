@@ -11,15 +11,23 @@ import corpus_pipeline
 import pytest
 from test_bpe import library, packed  # noqa: F401
 from test_minhash import brute_force
+from pyspark.sql import functions as F
+from test_mixing import by_hand as _mix
 from test_quality import by_hand
 from test_secrets import base_spans
 
-from tagloom.llm import quality, secrets
+from tagloom.llm import mixing, quality, secrets
 
 SF_DIR = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def mix_by_hand(rows, weights, chars):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("test_mixing.CHARS", chars)
+        return _mix(rows, weights)
+
+
 def redacted(rows):
     """Base spans of values that fewer than three sources hold, masked in their texts."""
     def value(text, no, lo, hi):
@@ -75,6 +83,20 @@ def test_stages_keep_columns_and_stand_odd_rows(spark):
         assert len(out) == (4 if given else 0)
 
 
+def test_mix_leaves_its_schedule(spark):
+    """A hot source: slots by a step-by-step scheduler over what the stages before let through."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("source", F.expr("if(doc_id % 4 > 0, 'src1', source)"))
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = spark.createDataFrame(stage(spark, docs, "").collect(), docs.schema)
+    docs = docs.withColumn("text", F.repeat("text", 60))  # long enough for several blocks
+    mixed = corpus_pipeline.STAGES[3][1](spark, docs, "")
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    hand, _, _ = mix_by_hand(rows, mixing.WEIGHTS, mixing.BLOCK_CHARS)
+    got = corpus_pipeline.mix_schedule(spark).collect()
+    assert {r.doc_id: (r.mix_source, r.block, r.slot) for r in got} == hand and len(got) == len(rows) == mixed.count()
+    assert max(r.block for r in got) > 0 and len({r.slot for r in got}) > len({r.mix_source for r in got})
+
+
 @pytest.mark.parametrize("without", ["corpus_pipeline.py", "tagloom/llm"])
 def test_entry_imports_without_this_package(tmp_path, without):
     for name in ("__spark_entry__.py", "corpus_pipeline.py"):

@@ -115,19 +115,24 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
 
 
 def redact(docs: DataFrame, text: str = "text", **scan_options) -> DataFrame:
-    """``docs`` with the value of every live credential replaced by MASK; nothing else changes."""
+    """``docs`` with the value of every live credential replaced by MASK; nothing else changes.
+
+    Values that overlap are masked together, from the first start to the greatest end.
+    """
     found = scan(docs, text, **scan_options)
     whole = F.col(f"`{text}`")
 
     def add(acc: Column, s: Column) -> Column:
-        first = s["end"] - F.char_length(s["value"]) + 1
-        kept = F.substring(whole, acc["at"], first - acc["at"])
+        kept = F.substring(whole, acc["at"], s["first"] - acc["at"])
         after = F.struct((s["end"] + 1).alias("at"), F.concat(acc["out"], kept, F.lit(MASK)).alias("out"))
-        return F.when(first < acc["at"], acc).otherwise(after)
+        longer = F.struct(F.greatest(acc["at"], s["end"] + 1).alias("at"), acc["out"].alias("out"))
+        return F.when(s["first"] < acc["at"], longer).otherwise(after)
 
     start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
     live = F.filter("secret_spans", lambda s: s["live"])
-    clean = F.aggregate(live, start, add, lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"], F.char_length(whole))))
+    # a value starts later than its span, so values come in an order of their own
+    values = F.array_sort(F.transform(live, lambda s: F.struct((s["end"] - F.char_length(s["value"]) + 1).alias("first"), s["end"].alias("end"))))
+    clean = F.aggregate(values, start, add, lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"], F.char_length(whole))))
     return found.withColumn(text, F.when(F.size(live) > 0, clean).otherwise(whole)).drop("secret_spans")
 
 

@@ -55,6 +55,7 @@ NOISE_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies".split())
 HEADINGS = frozenset("header masthead banner".split())  # noise unless inside the article
 CONTENT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre ul ol dl figure table section".split())
+PROSE_TAGS = frozenset("p blockquote pre".split())
 OFF, DOUBTFUL = 2, 1  # noise for certain; noise by a class or id unless it holds most of the page
 WORD = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -222,14 +223,22 @@ class Page:
         while path[-1]:
             path.append(self.parent[path[-1]])
         article = [i for i in path if self.name[i] == "article"] or [i for i in path if self.name[i] == "main"]
-        threshold = min(density[i] for i in path)
+        # density grows with size, so the best subtree says nothing about what smaller parts of it must have
+        threshold = min((density[i] for i in path[1:]), default=density[best])
         roots = {article[-1] if article else best}
-        if not article:  # what else on the way is as dense as the body and carries a share of the text,
-            for i in range(1, n):  # and the headings, lists and paragraphs right beside the best subtree
+        if not article:  # what else on the way is as dense as the body, the headings, lists and paragraphs right
+            own = [0] * n  # beside the best subtree, and containers beside it that are mostly such paragraphs
+            for i in range(1, n):
+                if self.name[i] in PROSE_TAGS and not off[i] and 10 * lc[i] <= 3 * c[i]:
+                    own[self.parent[i]] += c[i]
+            prose = own[:]
+            for i in range(n - 1, 0, -1):
+                prose[self.parent[i]] += 0 if self.name[i] in PROSE_TAGS else prose[i]
+            for i in range(1, n):
                 if self.parent[i] in path and i not in path and c[i]:
-                    dense = density[i] >= threshold and 4 * total[i] >= total[best]
-                    beside = best and self.parent[i] == self.parent[best] and self.name[i] in CONTENT_TAGS
-                    if dense or (beside and 10 * lc[i] <= 3 * c[i]):
+                    beside = best and self.parent[i] == self.parent[best] and 10 * lc[i] <= 3 * c[i]
+                    text = self.name[i] in CONTENT_TAGS or 2 * prose[i] >= c[i]
+                    if density[i] >= threshold or (beside and text):
                         roots.add(i)
         keep = [False] * n
         for i in range(n):

@@ -38,6 +38,15 @@ def test_pages(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("sizes", [((300, 10), (280, 10)), ((300, 10), (120, 1)), ((90, 2), (300, 12), (150, 3)), ((200, 6), (200, 6))])
+def test_articles_split_over_unequal_siblings(sizes):
+    divs = [[(f"{k}{i} " + PROSE * 4)[:n].strip() for i in range(m)] for k, (n, m) in enumerate(sizes)]
+    marked = "".join("<div>" + "".join(f"<p>{p}</p>" for p in d) + "</div>" for d in divs)
+    text = "\n\n".join(p for d in divs for p in d)
+    assert main_text(page(marked, NAV + MENU, FOOT)) == text
+    assert main_text(page(f"<div id=wrap>{marked}</div>", MENU, MENU + FOOT)) == text
+
+
 def test_generated_articles():
     rng = random.Random(8)
     words = "alpha beta gamma & < > \" delta é 日本 epsilon".split()

@@ -3,6 +3,9 @@
 Sections are the lines, the paragraphs and the whole of a text. A section of n distinct bigrams and
 a template of m reach a coefficient of t only if n lies between t/(2-t) and (2-t)/t times m, so most
 templates are ruled out by size alone.
+
+Sentences of other lines are compared as well, and full license texts are sought as word windows. Such a
+window shares at least t/(2-t) of the template's bigrams, so a text that does not is left at once.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -108,6 +112,41 @@ def templates() -> tuple[tuple[int, str, frozenset[tuple[str, str]]], ...]:
     return tuple(sorted(out, key=lambda t: (t[0], t[1], sorted(t[2]))))
 
 
+#: Of texts that differ in a few sections: the bigram that tells the left one's text as the right license.
+VARIANTS = {"GPL-3.0": (("remote", "network"), "AGPL-3.0")}
+SENTENCE_BREAK = re.compile(r"(?<=[.!?;:])\s+|\n(?:[ \t\r\f\v]*\n)+")
+WORD_PLACES = re.compile(r"[a-z0-9]+")
+
+
+@lru_cache(maxsize=None)
+def bodies() -> tuple[tuple[int, int, str, frozenset[tuple[str, str]]], ...]:
+    """``(bigrams, words, license, bigrams)`` of the full license texts, by size."""
+    out = []
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        w = words_of(path.read_text(encoding="utf-8"))
+        grams = frozenset(zip(w, w[1:]))
+        out.append((len(grams), len(w), path.stem, grams))
+    return tuple(sorted(out, key=lambda b: b[:3]))
+
+
+def _reach(grams: list[tuple[str, str]], own: frozenset, at: int, step: int, words: int, t: float) -> tuple[int, float]:
+    """From ``at`` on, the first place where 2·shared - t·distinct bigrams is greatest, and that sum.
+
+    The Dice coefficient with ``own`` is t or more exactly where the sum is t·len(own) or more.
+    """
+    seen, score, best, where, i = set(), 0.0, 0.0, at, at
+    while 0 <= i < len(grams) and abs(i - where) <= 2 * words:
+        if grams[i] not in seen:
+            seen.add(grams[i])
+            score += 2 - t if grams[i] in own else -t
+            if score > best:
+                best, where = score, i
+            if score < 0:
+                break
+        i += step
+    return where, best
+
+
 class Matcher:
     """Templates of one threshold, found by size."""
 
@@ -115,6 +154,9 @@ class Matcher:
         self.threshold = threshold
         self.known = templates()
         self.sizes = [t[0] for t in self.known]
+        self.bodies = bodies()
+        self.body_grams = frozenset().union(*(b[3] for b in self.bodies))
+        self.phrase_grams = frozenset().union(*(t[2] for t in self.known))
 
     def best(self, section: str) -> tuple[float, str] | None:
         """Highest coefficient of at least the threshold and its license, by name among equals."""
@@ -131,6 +173,57 @@ class Matcher:
                 found = (dice, name)
         return found
 
+    def windows(self, text: str) -> list[tuple[str, float, str, int, int]]:
+        """Full license texts anywhere in a text; of overlapping ones the best, by name among equals."""
+        t = self.threshold
+        least = t / (2 - t)
+        w = words_of(text)
+        shared = self.body_grams.intersection(zip(w, w[1:]))
+        if len(shared) < least * self.bodies[0][0] - 1e-9:
+            return []
+        places = [m.span() for m in WORD_PLACES.finditer(text.translate(ASCII_LOWER))]
+        grams, found = list(zip(w, w[1:])), []
+        for size, words, name, own in self.bodies:
+            if len(shared & own) < least * size - 1e-9:
+                continue
+            i = 0
+            while i < len(grams):
+                if grams[i] not in own:
+                    i += 1
+                    continue
+                hi, score = _reach(grams, own, i, 1, words, t)
+                if score < t * size - 1e-9:
+                    i = hi + 1
+                    continue
+                lo, _ = _reach(grams, own, hi, -1, words, t)
+                lo = max(lo, i)
+                held = set(grams[lo : hi + 1])
+                other = VARIANTS.get(name)
+                label = other[1] if other and other[0] in held else name
+                found.append((-2 * len(held & own) / (len(held) + size), label, places[lo][0], places[hi + 1][1]))
+                i = hi + 1
+        out: list[tuple[str, float, str, int, int]] = []
+        for dice, name, lo, hi in sorted(found):
+            if all(hi <= x[3] or x[4] <= lo for x in out):
+                out.append((name, -dice, "window", lo, hi))
+        return out
+
+    def sentences(self, text: str, lines: list[tuple[int, int]]) -> list[tuple[str, float, str, int, int]]:
+        """Matching sentences outside the given lines, which match as a whole."""
+        w = words_of(text)
+        shared, least = self.phrase_grams.intersection(zip(w, w[1:])), self.threshold / (2 - self.threshold)
+        if not any(len(shared & own) >= least * size - 1e-9 for size, _, own in self.known):
+            return []
+        out, at = [], 0
+        edges = [m.span() for m in SENTENCE_BREAK.finditer(text)]
+        for end, after in [*edges, (len(text), len(text))]:
+            if at < end and all(end <= lo or hi <= at for lo, hi in lines):
+                match = self.best(text[at:end])
+                if match:
+                    out.append((match[1], match[0], "sentence", at, end))
+            at = after
+        return out
+
     def scan(self, text: str | None) -> list[tuple[str, float, str, int, int]]:
         """``(license, dice, kind, start, end)`` of every matching section, in page order."""
         text, out, seen = text or "", [], set()
@@ -144,6 +237,14 @@ class Matcher:
                     match = self.best(text[lo:hi])
                     if match:
                         out.append((match[1], match[0], kind, lo, hi))
+        whole = [(x[3], x[4]) for x in out if x[2] != "text"]
+        listed = {(x[3], x[4]): n for n, x in enumerate(out)}
+        for x in [*self.sentences(text, whole), *self.windows(text)]:
+            n = listed.setdefault((x[3], x[4]), len(out))
+            if n == len(out):
+                out.append(x)
+            elif x[1] > out[n][1]:
+                out[n] = x
         return sorted(out, key=lambda x: (x[3], x[4]))
 
 

@@ -38,3 +38,25 @@ def test_sections(spark):
     assert got[3, None] == got[4, ""] == got[5, "word"] == []
     assert got[6, rows[5][1]][0].license == "GPL-3.0" and got[6, rows[6][1]][0].license == "CC-BY-NC-4.0"
     assert licenses.summary(df.limit(0)).collect() == []
+
+
+def test_full_texts_anywhere():
+    match = licenses.Matcher(licenses.THRESHOLD)
+    rng = random.Random(3)
+    prose = "\n\n".join(" ".join(rng.choice("alpha beta gamma delta of the and in a word".split()) for _ in range(90)) for _ in range(6))
+    for _, _, name, _ in licenses.bodies():
+        body = (licenses.Path(licenses.__file__).parent / "license_texts" / f"{name}.txt").read_text()
+        one_line = " ".join(body.split())
+        for text in (body, f"{prose}\n\n{body}\n\n{prose}", f"x = 1 {one_line} y = 2 {prose}"):
+            best = min(match.scan(text), key=lambda x: (-x[1], x[0]))
+            assert best[0] == name and best[1] > 0.95, name
+        found = [x for x in match.windows(f"{body}\n\n{prose}\n\n{body}") if x[0] == name]
+        assert len(found) == 2, name
+    assert match.windows(prose) == []
+
+
+def test_sentences_inside_prose():
+    match = licenses.Matcher(licenses.THRESHOLD)
+    line = "We wrote this in one summer, with help from friends. This project is licensed under the MIT License. Send mail to us if it breaks."
+    ((name, dice, kind, lo, hi),) = match.scan(line)
+    assert (name, dice, kind, line[lo:hi]) == ("MIT", 1.0, "sentence", "This project is licensed under the MIT License.")

@@ -374,17 +374,13 @@ def ffnn(spark, d):
     return scored(spark, d, lambda t: ln.fit_ffnn(t, "vec_id"))
 
 
-# The models that fit in seconds; SVC and GBM, which take minutes, have full-size queries of their own.
-QUICK = ("LR", "RF", "NB", "FFNN", "Dummy")
-
-
 @query()
 def model_registry_factory(spark, d):
     """Predictions per model and class from freshly fitted registry entries."""
     registry = ln.model_registry("vec_id")
     train, test = vector_split(spark, d)
     out = None
-    for name in QUICK:
+    for name in registry:
         counts = registry[name](train).transform(test).groupBy("prediction").agg(F.count("*").alias("n"))
         part = counts.select(F.lit(name).alias("model"), "prediction", "n")
         out = part if out is None else out.unionByName(part)
@@ -401,7 +397,7 @@ def train_and_evaluate(spark, d):
 def compare_models(spark, d):
     registry = ln.model_registry("vec_id")
     train, test = vector_split(spark, d)
-    return ln.compare_models({n: registry[n] for n in QUICK}, train, test)[0]
+    return ln.compare_models(registry, train, test)[0]
 
 
 def text_rows(spark, d):

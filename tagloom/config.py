@@ -70,7 +70,7 @@ DISPLAY_DIMS = 2
 
 LR_MAX_ITER = 2000
 LR_TOLERANCE = 1e-4
-SVC_MAX_ITER = 1000
+SVC_MAX_ITER = 5000
 SVC_TOLERANCE = 1e-3
 PENALTY_C = 1.0
 GBM_TREES = 200

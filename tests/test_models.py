@@ -256,3 +256,11 @@ def test_plans_trim_and_push_down(spark, tmp_path):
     assert "GreaterThanOrEqual(Publish date,2025-01-01" in text and "IsNotNull(Post id)" in text and "body" not in text
     picked = rk.few_shot_sample(spark.range(1000).withColumn("label", F.col("id") % 2), "label", "id")
     assert "WindowGroupLimit" in plan(picked)
+
+
+def test_comparison_covers_every_model(monkeypatch):
+    from tagloom.catalog import modelling
+
+    monkeypatch.setattr(modelling, "vector_split", lambda spark, d: (None, None))
+    monkeypatch.setattr(modelling.ln, "compare_models", lambda models, train, test: (set(models), None))
+    assert modelling.compare_models(None, None) == set(modelling.ln.model_registry("vec_id")) >= {"SVC", "GBM"}

@@ -1,4 +1,17 @@
 """All registered queries of this package."""
 
-from . import bpe, hamming, html, langid, licenses, minhash, mixing, quality, secrets, urlfilter  # noqa: F401
+from . import (  # noqa: F401
+    bpe,
+    hamming,
+    html,
+    langid,
+    licenses,
+    minhash,
+    mixing,
+    periodic,
+    quality,
+    secrets,
+    urlfilter,
+    vafile,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -11,6 +11,7 @@ from . import (  # noqa: F401
     periodic,
     quality,
     secrets,
+    toxicity,
     urlfilter,
     vafile,
 )

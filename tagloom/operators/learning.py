@@ -12,7 +12,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassifier,
-    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
@@ -27,13 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as cfg
-from ..functions.vectors import argmax, softmax
+from ..functions.vectors import softmax
 from ..scratch import Scratch, compact, settled
 from .aggregates import with_class_weight
 from .articles import encode_labels
 from .evaluation import classification_scores
 from .features import row_count, term_counts, tfidf, vocabulary
 from .ranking import oversample, stratified_kfold
+from .svm import CalibratedSvc, fit_svc_calibrated  # noqa: F401
 
 _COLUMNS = dict(featuresCol="features", labelCol="label_idx")
 _SCORES = ("rawPrediction", "probability")
@@ -82,75 +82,6 @@ def fit_lr(train: DataFrame, max_iter: int = cfg.LR_MAX_ITER, c: float = cfg.PEN
         return FittedClassifier(lr.fit(rows))
 
 
-class CalibratedSvc:
-    """One-vs-rest margins turned into probabilities by one sigmoid per class."""
-
-    def __init__(self, margins: OneVsRestModel, sigmoids: Sequence[tuple[float, float]]):
-        self.margins, self.sigmoids = margins, list(sigmoids)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        m = vector_to_array("rawPrediction")
-        raw = F.array(*[
-            1.0 / (1.0 + F.exp(-(F.lit(a) * F.get(m, F.lit(i)) + F.lit(b)))) for i, (a, b) in enumerate(self.sigmoids)
-        ])
-        out = self.margins.transform(df).withColumn("__raw", raw)
-        total = F.aggregate("__raw", F.lit(0.0), lambda x, y: x + y)
-        even = F.transform("__raw", lambda _: F.lit(1.0 / len(self.sigmoids)))
-        proba = F.when(F.col("__total") > 0, F.transform("__raw", lambda p: p / F.col("__total"))).otherwise(even)
-        out = out.withColumn("__total", total).withColumn("proba", proba)
-        return out.withColumn("prediction", argmax(F.col("proba")).cast("double")).drop("__raw", "__total", *_SCORES)
-
-    def save(self, path: str) -> None:
-        self.margins.write().save(f"{path}/margins")
-        rows = [(i, a, b) for i, (a, b) in enumerate(self.sigmoids)]
-        table = SparkSession.active().createDataFrame(rows, "class int, slope double, shift double")
-        table.write.parquet(f"{path}/sigmoids")
-
-    @classmethod
-    def load(cls, spark, path: str) -> CalibratedSvc:
-        rows = spark.read.parquet(f"{path}/sigmoids").orderBy("class").collect()
-        return cls(OneVsRestModel.load(f"{path}/margins"), [(r["slope"], r["shift"]) for r in rows])
-
-
-def fit_svc_calibrated(train: DataFrame, key: str, folds: int = cfg.FOLDS, max_iter: int = cfg.SVC_MAX_ITER,
-                       c: float = cfg.PENALTY_C, tol: float = cfg.SVC_TOLERANCE, parallelism: int = 2) -> CalibratedSvc:
-    """Linear SVM per class; each class's sigmoid is fitted on margins of rows held out by fold.
-
-    The fits of the folds and the final one are independent and share the cluster.
-    """
-    scratch = Scratch(train.sparkSession, "svc")
-    with compact(stratified_kfold(_columns(train, key), "label_idx", key, folds)) as rows:
-        total = rows.agg(F.sum("weight")).first()[0]
-
-        def margins(held_out: int) -> OneVsRestModel:
-            svc = LinearSVC(maxIter=max_iter, regParam=1.0 / (c * total), standardization=False, tol=tol)
-            fit_on = rows.where(F.col("fold") != held_out)
-            return OneVsRest(classifier=svc, weightCol="weight", parallelism=parallelism, **_COLUMNS).fit(fit_on)
-
-        with ThreadPool(folds + 1) as pool:
-            *fitted, final = pool.map(margins, [*range(folds), -1])
-        scored = None
-        for f, model in enumerate(fitted):
-            part = model.transform(rows.where(F.col("fold") == f)).select(
-                "label_idx", vector_to_array("rawPrediction").alias("m")
-            )
-            scored = part if scored is None else scored.unionByName(part)
-        scored = scratch.write(scored, "margins")
-    with compact(scored) as held_out:
-
-        def sigmoid(i: int) -> tuple[float, float]:
-            one = held_out.select(
-                array_to_vector(F.array(F.coalesce(F.get("m", F.lit(i)), F.lit(0.0)))).alias("features"),
-                (F.col("label_idx") == i).cast("double").alias("label_idx"),
-            )
-            lr = LogisticRegression(family="binomial", maxIter=100, **_COLUMNS).fit(one)
-            return float(lr.coefficients[0]), float(lr.intercept)
-
-        with ThreadPool(4) as pool:
-            sigmoids = pool.map(sigmoid, range(len(final.models)))
-    return CalibratedSvc(final, sigmoids)
-
-
 def fit_gbm(train: DataFrame, trees: int = cfg.GBM_TREES, depth: int = cfg.GBM_DEPTH, rate: float = cfg.GBM_RATE,
             seed: int = cfg.SEED, parallelism: int = 4) -> FittedClassifier:
     gbt = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed)

@@ -20,6 +20,7 @@ from ..operators import topics as tp
 from ..operators.articles import encode_labels
 from ..operators.ranking import stratified_split, topn_per_class
 from ..plans import explore as ex
+from ..scratch import settled
 from ..sources import stores as st
 from ..streaming.incremental import scratch_output
 from . import sql as q
@@ -318,10 +319,10 @@ def topic_alignment(spark, d):
 # Supervised learning
 
 def vector_split(spark, d):
-    """Labeled vectors with features, codes, balanced weights and split."""
+    """Labeled vectors with features, codes, balanced weights and split, written once for all fits."""
     labeled, _ = fl.split_labeled_unlabeled(s.vectors(spark, d))
     split = stratified_split(labeled, "User_Needs", "vec_id")
-    rows = ln.training_frame(ln.vector_features(split, "embedding"), "User_Needs")
+    rows = settled(ln.training_frame(ln.vector_features(split, "embedding"), "User_Needs"))
     return rows.where("split = 'train'"), rows.where("split = 'test'")
 
 

@@ -11,12 +11,9 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
-    OneVsRest,
-    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -30,6 +27,7 @@ from ..functions.vectors import softmax
 from ..scratch import Scratch, compact, settled
 from .aggregates import with_class_weight
 from .articles import encode_labels
+from .boosting import GradientBoosting, fit_gbm  # noqa: F401
 from .evaluation import classification_scores
 from .features import row_count, term_counts, tfidf, vocabulary
 from .ranking import oversample, stratified_kfold
@@ -82,13 +80,6 @@ def fit_lr(train: DataFrame, max_iter: int = cfg.LR_MAX_ITER, c: float = cfg.PEN
         return FittedClassifier(lr.fit(rows))
 
 
-def fit_gbm(train: DataFrame, trees: int = cfg.GBM_TREES, depth: int = cfg.GBM_DEPTH, rate: float = cfg.GBM_RATE,
-            seed: int = cfg.SEED, parallelism: int = 4) -> FittedClassifier:
-    gbt = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed)
-    with compact(_columns(train)) as rows:
-        return FittedClassifier(OneVsRest(classifier=gbt, parallelism=parallelism, **_COLUMNS).fit(rows))
-
-
 def fit_rf(train: DataFrame, trees: int = cfg.RF_TREES, depth: int = cfg.RF_MAX_DEPTH,
            seed: int = cfg.SEED) -> FittedClassifier:
     rf = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight", **_COLUMNS)

@@ -131,6 +131,24 @@ def test_similar_pairs_match_brute_force(spark, threshold, monkeypatch):
         assert {(r["a"], r["b"]) for r in sm.similar_pairs(w, "id", threshold, prefix).collect()} == brute
 
 
+def test_candidates_hold_all_similar_pairs_and_few_others(spark):
+    """Bounds at the posting join: nothing similar is lost, most meetings are ruled out there."""
+    rng = np.random.default_rng(11)
+    base = [rng.choice(400, 40, replace=False) for _ in range(60)]
+    docs = [(i, [f"t{x}" for x in (b if i % 3 else np.r_[b[:38], rng.integers(0, 400, 2)])]) for i, b in enumerate(base + base)]
+    counts = ft.term_counts(spark.createDataFrame(docs, "id long, tokens array<string>"), "id", hi=1)
+    df = spark.createDataFrame(docs, "id long, tokens array<string>")
+    w = ft.tfidf(counts, ft.vocabulary(counts, ft.row_count(df), 1, 1.0, None), "id").persist()
+    v = {}
+    for r in w.collect():
+        v.setdefault(r["id"], {})[r["term"]] = r["weight"]
+    brute = {(a, b) for a in v for b in v if a < b and sum(x * v[b].get(t, 0) for t, x in v[a].items()) >= 0.9}
+    got = {(r["a"], r["b"]) for r in sm.candidate_pairs(w.select("id", "term", "df", "weight"), "id", 0.9).collect()}
+    prefixes = sm._prefixes(w, "id", 0.9).select("id", "term").toDF("a", "term")
+    meetings = prefixes.join(prefixes.withColumnRenamed("a", "b"), "term").where("a < b").select("a", "b").distinct().count()
+    assert len(brute) >= 40 and brute <= got and len(got) - len(brute) < 0.05 * (meetings - len(brute))
+
+
 def test_copies_stay_linear_and_counts_exact(spark):
     docs = spark.range(60).select("id", F.when(F.col("id") < 40, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a"), F.lit("c"))).alias("tokens"))
     counts = ft.term_counts(docs, "id", hi=1)

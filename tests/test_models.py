@@ -47,6 +47,35 @@ def test_blocks_equal_one_block_and_brute_force(blobs):
         assert abs(bl.silhouette(blobs, "id", "v", "label", block_rows).first()[0] - np.mean(scores)) < 1e-9
 
 
+def far_blobs(spark, n=600, d=5, groups=12):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 40, (groups, d))
+    rows = [(f"row{i}", (centres[i % groups] + rng.normal(0, 1, d)).tolist()) for i in range(n)]
+    rows += [(f"copy{i}", rows[0][1]) for i in range(60)] + [("zero", [0.0] * d)]
+    return spark.createDataFrame(rows, "id string, v array<double>")
+
+
+def test_cells_give_the_same_neighbours_and_skip_far_cells(spark):
+    from tagloom.operators.pivots import Cells
+
+    df = far_blobs(spark).persist()
+    n = df.count()
+    whole = bl.knn_graph(df, "id", "v", 4, block_rows=n)
+    cells = bl.knn_graph(df, "id", "v", 4, block_rows=25)
+    a, b = ({(r["metric"], r["id"], r["rank"]): (r["neighbour"], r["distance"]) for r in g.collect()} for g in (cells, whole))
+    assert a.keys() == b.keys() and all(a[x][0] == b[x][0] and a[x][1] == pytest.approx(b[x][1], abs=1e-9) for x in a)
+
+    def groups(edges):
+        parts = cl.connected_components(df.select(F.col("id").alias("node")), edges)
+        return {(r["node"], r["component"]) for r in parts.collect()}
+
+    by_blocks = bl.density_edges(df, "id", "v", 3.0, block_rows=n)
+    assert groups(bl.density_edges(df, "id", "v", 3.0, block_rows=25)) == groups(by_blocks)
+    c = Cells(df, "id", "v", n, 25)
+    sent = c.asked(k=4).agg(F.sum(F.size("cells"))).first()[0]
+    assert len(c.pivots) > 20 and sent < 0.3 * n * len(c.pivots)
+
+
 def test_silhouette_edges(spark, blobs):
     one = blobs.withColumn("label", F.lit(1))
     assert bl.silhouette(one, "id", "v", "label").first()[0] is None

@@ -729,5 +729,6 @@ def distinct_urls(spark, d):
 
 @query(f"""WITH {PAGES} SELECT url, {PAGE_TITLE} AS title, n::INTEGER AS paragraph, t AS text FROM good JOIN art USING (page_id)""")
 def incremental_extract(spark, d):
-    job = IncrementalExtract(spark, d, scratch_output(spark, "pages"), None, glob="pages.parquet")
+    either = f"{d}/{{pages.parquet}}"  # a pattern fits the table as one file and as a folder of files
+    job = IncrementalExtract(spark, either, scratch_output(spark, "pages"), None)
     return job.run().run().paragraphs()

@@ -239,23 +239,6 @@ def test_text_classifier_fits_idf_inside_folds(spark, tmp_path):
     assert a == b and abs(float(np.linalg.norm(a[0]["features"].toArray())) - 1.0) < 1e-9
 
 
-def test_stream_is_idempotent_and_retries(spark, tmp_path):
-    src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    page = "<article><h1>T</h1><div class='entry-content'><p>a</p><p>b</p></div></article>"
-    schema = "page_id long, url string, html string"
-    spark.createDataFrame([(1, "u1", page), (2, "u2", "<p>x</p>"), (3, None, page)], schema).write.parquet(src)
-    job = IncrementalExtract(spark, src, out).run()
-    assert job.paragraphs().count() == 2 and [r["url"] for r in job.failures().collect()] == ["u2"]
-    assert IncrementalExtract(spark, src, out).run().paragraphs().count() == 2
-    spark.createDataFrame([(4, "u1", page), (5, "u2", page)], schema).write.mode("append").parquet(src)
-    job.run()
-    assert job.paragraphs().count() == 4 and job.failures().isEmpty()
-    spark.createDataFrame([(6, "u6", "<p>x</p>")], schema).write.mode("append").parquet(src)
-    job.run()
-    fixed = spark.createDataFrame([(7, "u6", page)], schema)
-    assert job.retry(fixed).paragraphs().count() == 6 and job.failures().isEmpty()
-
-
 def test_sources(spark, tmp_path):
     rows = spark.createDataFrame([("1", 'a "q"\n b ,', None)], "Apikey string, Title string, Views double")
     tb.write_articles(rows, str(tmp_path / "csv"), "csv")

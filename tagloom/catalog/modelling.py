@@ -407,11 +407,26 @@ def text_rows(spark, d):
     return ln.training_frame(docs, "User_Needs")
 
 
+def text_split(spark, d):
+    split = settled(stratified_split(text_rows(spark, d), "User_Needs", "doc_id"))
+    return split.where("split = 'train'"), split.where("split = 'test'")
+
+
 @query()
 def tfidf_classifier(spark, d):
-    split = stratified_split(text_rows(spark, d), "User_Needs", "doc_id").persist()
-    model = ln.fit_tfidf_classifier(ln.fit_lr, "doc_id")(split.where("split = 'train'"))
-    return model.transform(split.where("split = 'test'")).select("doc_id", "label_idx", "prediction")
+    train, test = text_split(spark, d)
+    model = ln.fit_tfidf_classifier(ln.fit_lr, "doc_id")(train)
+    return model.transform(test).select("doc_id", "label_idx", "prediction")
+
+
+@query()
+def tfidf_svc_classifier(spark, d):
+    """TF-IDF to calibrated SVC, stored as one unit and scored after loading it."""
+    train, test = text_split(spark, d)
+    model = ln.fit_tfidf_classifier(lambda t: ln.fit_svc_calibrated(t, "doc_id"), "doc_id")(train)
+    out = scratch_output(spark, "text-classifier")
+    model.save(out)
+    return ln.TextClassifier.load(spark, out).transform(test).select("doc_id", "label_idx", "prediction")
 
 
 @query()
@@ -419,6 +434,13 @@ def cross_validate(spark, d):
     return ln.cross_validate(ln.fit_tfidf_classifier(ln.fit_lr, "doc_id"), text_rows(spark, d), "doc_id")
 
 
+@query()
+def cross_validate_svc(spark, d):
+    """Macro-F1 per fold of TF-IDF to calibrated SVC."""
+    fit = ln.fit_tfidf_classifier(lambda t: ln.fit_svc_calibrated(t, "doc_id"), "doc_id")
+    return ln.cross_validate(fit, settled(text_rows(spark, d)), "doc_id")
+
+
 @query()
 def save_model(spark, d):
     from pyspark.ml.classification import LogisticRegressionModel

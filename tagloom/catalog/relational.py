@@ -78,10 +78,24 @@ def append_rows(spark, d):
     return spark.read.parquet(out)
 
 
-@query("SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+_COUNTED = "aeiou"
+_COUNTS = ", ".join(f"length(text) - length(replace(text, '{c}', ''))" for c in _COUNTED)
+
+
+@query(f"""SELECT doc_id::VARCHAR AS key, i::INTEGER AS pos, v[i + 1]::DOUBLE AS x
+FROM (SELECT doc_id, [{_COUNTS}] AS v FROM documents), range({len(_COUNTED)}) r(i)""")
 def embedding_store(spark, d):
-    done = s.table(spark, d, "labels").select("doc_id")
-    return st.missing_rows(s.table(spark, d, "documents").select("doc_id", "text"), done, "doc_id")
+    """Labeled documents first, then all: the second call computes the others only."""
+
+    def encode(rows):
+        counts = [F.length("text") - F.length(F.replace("text", F.lit(c), F.lit(""))) for c in _COUNTED]
+        return rows.select("doc_id", F.array(*counts).alias("embedding"))
+
+    docs = s.table(spark, d, "documents").select("doc_id", "text")
+    store = st.EmbeddingStore(spark, scratch_output(spark, "vectors"))
+    store.ensure(docs.join(s.table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi"), "doc_id", "letters", "counts", encode)
+    stored = store.ensure(docs, "doc_id", "letters", "counts", encode)
+    return stored.select("key", F.posexplode("embedding").alias("pos", "x")).withColumn("x", F.col("x").cast("double"))
 
 
 @query("""SELECT vec_id::VARCHAR AS url, i::INTEGER AS pos, round(-x::DOUBLE, 4) AS x
@@ -175,7 +189,8 @@ def split_labeled_unlabeled(spark, d):
 
 @query(f"""WITH {q.EXPORT} SELECT url, title, text, need AS user_needs, need <> 'none' AS is_labeled FROM merged WHERE text IS NOT NULL""")
 def save_ml_datasets(spark, d):
-    out = fl.save_ml_datasets(fl.filter_articles(s.export(spark, d)), s.texts(spark, d))
+    tagged, untagged = fl.save_ml_datasets(fl.filter_articles(s.export(spark, d)), s.texts(spark, d), scratch_output(spark, "ml"))
+    out = tagged.withColumn("is_labeled", F.lit(True)).unionByName(untagged.withColumn("is_labeled", F.lit(False)))
     return out.select(F.col("URL").alias("url"), F.col("Title").alias("title"), "text",
                       F.col("User_Needs").alias("user_needs"), "is_labeled")
 

@@ -71,7 +71,7 @@ DISPLAY_DIMS = 2
 LR_MAX_ITER = 2000
 LR_TOLERANCE = 1e-4
 SVC_MAX_ITER = 5000
-SVC_TOLERANCE = 1e-6  # of the gradient, relative to the first
+SVC_TOLERANCE = 1e-5  # of the gradient, relative to the first
 PENALTY_C = 1.0
 GBM_TREES = 200
 GBM_DEPTH = 5

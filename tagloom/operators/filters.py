@@ -64,12 +64,20 @@ def _project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[tx.col(c) for c in columns])
 
 
-def save_ml_datasets(articles: DataFrame, texts: DataFrame) -> DataFrame:
+def ml_rows(articles: DataFrame, texts: DataFrame) -> DataFrame:
     """Joined, projected, complete rows; ``is_labeled`` tells tagged from untagged."""
     rows = dropna_any(_project(merge_article_text(articles, texts), cfg.ML_COLUMNS), {})
     return rows.withColumn("is_labeled", F.col("User_Needs") != cfg.UNLABELED)
 
 
+def save_ml_datasets(articles: DataFrame, texts: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Tagged and untagged rows as stored below ``path``, from one pass over the join."""
+    rows = ml_rows(articles, texts)
+    rows.write.mode("overwrite").partitionBy("is_labeled").parquet(path)
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return stored.where("is_labeled").drop("is_labeled"), stored.where("NOT is_labeled").drop("is_labeled")
+
+
 def save_eda_dataset(articles: DataFrame, texts: DataFrame) -> DataFrame:
     return dropna_any(_project(merge_article_text(articles, texts), cfg.EDA_COLUMNS))
 

@@ -7,8 +7,10 @@ Every fitted model's ``transform`` adds ``prediction`` and the array ``proba``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from multiprocessing.pool import ThreadPool
+from importlib import import_module
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -20,7 +22,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as cfg
 from ..functions.vectors import softmax
@@ -213,20 +214,20 @@ class TfidfModel(Model):
         return out.withColumn("features", sparse_vector(F.col("e"), self.size)).drop("e")
 
 
+@F.pandas_udf(VectorUDT())
+def _sparse(sizes: pd.Series, indices: pd.Series, values: pd.Series) -> pd.DataFrame:
+    kind = np.zeros(len(sizes), np.int8)  # of sparse vectors
+    return pd.DataFrame({"type": kind, "size": sizes, "indices": indices, "values": values})
+
+
 def sparse_vector(entries, size: int):
-    """Sparse ML vector of ``(idx, weight)`` entries, decoded inside the JVM through its JSON form."""
-    none = F.array().cast("array<struct<idx:int,weight:double>>")
-    e = F.coalesce(entries, none)
-    vector = F.struct(
-        F.lit(0).alias("type"), F.lit(size).alias("size"),
-        F.transform(e, lambda x: x["idx"]).alias("indices"), F.transform(e, lambda x: x["weight"]).alias("values"),
-    )
-    schema = T.StructType([T.StructField("v", VectorUDT())])
-    return F.from_json(F.to_json(F.struct(vector.alias("v"))), schema)["v"]
+    """Sparse ML vector of ``(idx, weight)`` entries; none for a row without entries."""
+    e = F.coalesce(entries, F.array().cast("array<struct<idx:int,weight:double>>"))
+    return _sparse(F.lit(size), F.transform(e, lambda x: x["idx"]), F.transform(e, lambda x: x["weight"]))
 
 
 class TextClassifier:
-    """TF-IDF and a classifier fitted as one unit."""
+    """TF-IDF and a classifier fitted as one unit, stored and loaded as one."""
 
     def __init__(self, features: TfidfModel, model):
         self.features, self.model = features, model
@@ -234,26 +235,33 @@ class TextClassifier:
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(self.features.transform(df))
 
+    def save(self, path: str) -> None:
+        f = self.features
+        f.vocab.write.parquet(f"{path}/vocabulary")
+        self.model.save(f"{path}/model")
+        own = self.model.model if isinstance(self.model, FittedClassifier) else self.model
+        about = [(f.key, f.lo, f.hi, type(own).__module__, type(own).__name__)]
+        SparkSession.active().createDataFrame(about, "key string, lo int, hi int, module string, name string").write.parquet(f"{path}/about")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TextClassifier:
+        about = spark.read.parquet(f"{path}/about").first()
+        kind = getattr(import_module(about.module), about.name)
+        ours = about.module.startswith(__package__.split(".")[0])
+        model = kind.load(spark, f"{path}/model") if ours else FittedClassifier(kind.load(f"{path}/model"))
+        vocab = spark.read.parquet(f"{path}/vocabulary")
+        return cls(TfidfModel(about.key, vocab, vocab.count(), about.lo, about.hi), model)
+
 
 def fit_tfidf_classifier(fit: Fit, key: str, vectorizer: TfidfVectorizer | None = None) -> Fit:
     def run(train: DataFrame) -> TextClassifier:
         features = (vectorizer or TfidfVectorizer(key)).fit(train)
-        rows = Scratch(train.sparkSession, "text-train").write(
-            features.transform(train).select(key, "label_idx", "weight", _vector_parts("features").alias("f")), "rows"
-        )
-        rows = rows.withColumn("features", sparse_vector(F.col("f"), features.size)).drop("f")
-        return TextClassifier(features, fit(rows))
+        rows = features.transform(train).select(key, "label_idx", "weight", "features")
+        return TextClassifier(features, fit(Scratch(train.sparkSession, "text-train").write(rows, "rows")))
 
     return run
 
 
-def _vector_parts(column: str):
-    """Entries of a vector column as plain structs, which any table format can store."""
-    text = F.to_json(F.struct(F.col(column).alias("v")))
-    parts = F.from_json(text, "v struct<indices:array<int>,values:array<double>>")["v"]
-    return F.zip_with(parts["indices"], parts["values"], lambda i, w: F.struct(i.alias("idx"), w.alias("weight")))
-
-
 def cross_validate(fit: Fit, df: DataFrame, key: str, folds: int = cfg.FOLDS) -> DataFrame:
     """Macro-F1 per fold with the mean and the population deviation beside it.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregates import combine_paragraphs
 from ..operators.articles import preprocess_articles
-from ..operators.filters import filter_articles, save_eda_dataset, save_ml_datasets
+from ..operators.filters import filter_articles, ml_rows, save_eda_dataset
 from ..operators.ranking import stratified_split
 from ..scratch import settled
 from .. import config as cfg
@@ -18,7 +18,7 @@ def eda_articles(export: DataFrame, paragraphs: DataFrame, start: str | None = N
 
 
 def ml_articles(export: DataFrame, paragraphs: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    return save_ml_datasets(filter_articles(export, start, end), combine_paragraphs(paragraphs))
+    return ml_rows(filter_articles(export, start, end), combine_paragraphs(paragraphs))
 
 
 def prepare_articles(export: DataFrame, paragraphs: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -4,18 +4,22 @@ Sections are the lines, the paragraphs and the whole of a text. A section of n d
 a template of m reach a coefficient of t only if n lies between t/(2-t) and (2-t)/t times m, so most
 templates are ruled out by size alone.
 
-Sentences of other lines are compared as well, and full license texts are sought as word windows. Such a
-window shares at least t/(2-t) of the template's bigrams, so a text that does not is left at once.
+Templates are also sought as word windows, full license texts anywhere, phrases and notices outside the
+sections that match. A window shares at least t/(2-t) of the template's bigrams, so a text that does not
+is left at once. A text is split into words once, for all sections and windows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
-from pathlib import Path
+from functools import cached_property, lru_cache
+from importlib.resources import files
+from itertools import repeat
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,7 +93,6 @@ NOTICES = {
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[a-z0-9]+")
-PARAGRAPHS = re.compile(r"\n(?:[ \t\r\f\v]*\n)+")
 
 
 def words_of(text: str) -> list[str]:
@@ -114,54 +117,84 @@ def templates() -> tuple[tuple[int, str, frozenset[tuple[str, str]]], ...]:
 
 #: Of texts that differ in a few sections: the bigram that tells the left one's text as the right license.
 VARIANTS = {"GPL-3.0": (("remote", "network"), "AGPL-3.0")}
-SENTENCE_BREAK = re.compile(r"(?<=[.!?;:])\s+|\n(?:[ \t\r\f\v]*\n)+")
-WORD_PLACES = re.compile(r"[a-z0-9]+")
 
 
 @lru_cache(maxsize=None)
 def bodies() -> tuple[tuple[int, int, str, frozenset[tuple[str, str]]], ...]:
     """``(bigrams, words, license, bigrams)`` of the full license texts, by size."""
     out = []
-    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
-        w = words_of(path.read_text(encoding="utf-8"))
-        grams = frozenset(zip(w, w[1:]))
-        out.append((len(grams), len(w), path.stem, grams))
+    for path in (files(__package__) / "license_texts").iterdir():
+        if path.name.endswith(".txt"):
+            w = words_of(path.read_text(encoding="utf-8"))
+            grams = frozenset(zip(w, w[1:]))
+            out.append((len(grams), len(w), path.name.removesuffix(".txt"), grams))
     return tuple(sorted(out, key=lambda b: b[:3]))
 
 
-def _reach(grams: list[tuple[str, str]], own: frozenset, at: int, step: int, words: int, t: float) -> tuple[int, float]:
-    """From ``at`` on, the first place where 2·shared - t·distinct bigrams is greatest, and that sum.
+class Words:
+    """A text read once: its normalised words, their lines, and where template bigrams stand.
 
-    The Dice coefficient with ``own`` is t or more exactly where the sum is t·len(own) or more.
+    ``gram[i]`` numbers the bigram of words i and i+1 if any template has it, else it is -1. ``line[k]`` is the
+    first word of line k, with one more entry at the end.
     """
-    seen, score, best, where, i = set(), 0.0, 0.0, at, at
-    while 0 <= i < len(grams) and abs(i - where) <= 2 * words:
-        if grams[i] not in seen:
-            seen.add(grams[i])
-            score += 2 - t if grams[i] in own else -t
-            if score > best:
-                best, where = score, i
-            if score < 0:
-                break
-        i += step
-    return where, best
+
+    def __init__(self, text: str, matcher: Matcher):
+        self.text = text
+        clean = text.translate(ASCII_LOWER).replace("licence", "license")  # no letter changes its place
+        lines = clean.split("\n")
+        parts = [WORD.findall(x) for x in lines]
+        self.clean = clean
+        self.end = np.cumsum([len(x) + 1 for x in lines]) - 1  # place where each line ends
+        self.words = [w for part in parts for w in part]
+        self.line = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        ids = np.fromiter(map(matcher.vocabulary.get, self.words, repeat(-1)), np.int64, len(self.words))
+        key = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * len(matcher.vocabulary) + ids[1:], -1)
+        at = np.searchsorted(matcher.gram_keys, key)
+        at[at == len(matcher.gram_keys)] = 0
+        self.gram = np.where(matcher.gram_keys[at] == key, at, -1)
+        self.hits = np.zeros(len(self.words) + 1, np.int64)
+        self.hits[1 : len(self.gram) + 1] = np.cumsum(self.gram >= 0)
+        self.hits[len(self.gram) + 1 :] = self.hits[len(self.gram)]
+
+    def held(self, lo: int, hi: int) -> int:
+        """Places of template bigrams among words lo to hi."""
+        return int(self.hits[max(hi - 1, lo)] - self.hits[lo])
+
+    def grams(self, lo: int, hi: int) -> set[tuple[str, str]]:
+        return set(zip(self.words[lo : hi - 1], self.words[lo + 1 : hi]))
+
+    @cached_property
+    def places(self) -> list[tuple[int, int]]:
+        return [m.span() for m in WORD.finditer(self.clean)]
 
 
 class Matcher:
-    """Templates of one threshold, found by size."""
+    """Templates of one threshold, found by size and by the bigrams they hold."""
 
     def __init__(self, threshold: float):
         self.threshold = threshold
+        self.least = threshold / (2 - threshold)  # share of a template's bigrams that a match holds
         self.known = templates()
         self.sizes = [t[0] for t in self.known]
         self.bodies = bodies()
-        self.body_grams = frozenset().union(*(b[3] for b in self.bodies))
-        self.phrase_grams = frozenset().union(*(t[2] for t in self.known))
-
-    def best(self, section: str) -> tuple[float, str] | None:
+        #: what windows are sought for: size, words, license, bigrams
+        self.sought = [*self.bodies, *((size, size + 1, name, own) for size, name, own in self.known)]
+        every = sorted({g for x in self.sought for g in x[3]})
+        self.vocabulary = {w: i for i, w in enumerate(sorted({w for g in every for w in g}))}
+        keys = [self.vocabulary[a] * len(self.vocabulary) + self.vocabulary[b] for a, b in every]
+        order = np.argsort(keys)
+        self.gram_keys = np.array(keys, np.int64)[order]
+        number = {every[i]: n for n, i in enumerate(order.tolist())}
+        self.numbers = [np.array(sorted(number[g] for g in x[3]), np.int64) for x in self.sought]
+        self.needed = np.array([math.ceil(self.least * x[0] - 1e-9) for x in self.sought])
+        self.fewest = int(self.needed.min())
+        pairs = [(n, i) for i, own in enumerate(self.numbers) for n in own.tolist()]
+        pairs.sort()
+        self.holders = np.array([i for _, i in pairs], np.int64)  # templates of each bigram, one after another
+        self.holder_start = np.searchsorted([n for n, _ in pairs], np.arange(len(every) + 1))
+
+    def best_of(self, grams: set[tuple[str, str]]) -> tuple[float, str] | None:
         """Highest coefficient of at least the threshold and its license, by name among equals."""
-        w = words_of(section)
-        grams = set(zip(w, w[1:]))
         n, t = len(grams), self.threshold
         found = None
         for i in range(bisect_left(self.sizes, n * t / (2 - t) - 1e-9), len(self.known)):
@@ -173,78 +206,126 @@ class Matcher:
                 found = (dice, name)
         return found
 
-    def windows(self, text: str) -> list[tuple[str, float, str, int, int]]:
-        """Full license texts anywhere in a text; of overlapping ones the best, by name among equals."""
-        t = self.threshold
-        least = t / (2 - t)
-        w = words_of(text)
-        shared = self.body_grams.intersection(zip(w, w[1:]))
-        if len(shared) < least * self.bodies[0][0] - 1e-9:
-            return []
-        places = [m.span() for m in WORD_PLACES.finditer(text.translate(ASCII_LOWER))]
-        grams, found = list(zip(w, w[1:])), []
-        for size, words, name, own in self.bodies:
-            if len(shared & own) < least * size - 1e-9:
+    def best(self, section: str) -> tuple[float, str] | None:
+        w = words_of(section)
+        return self.best_of(set(zip(w, w[1:])))
+
+    def possible(self, text: Words) -> np.ndarray:
+        """Templates of which the text holds enough bigrams anywhere."""
+        held = np.unique(text.gram[text.gram >= 0])
+        if len(held) < self.fewest:
+            return held[:0]
+        sizes = self.holder_start[held + 1] - self.holder_start[held]
+        first = np.repeat(self.holder_start[held] - np.cumsum(sizes) + sizes, sizes)
+        counts = np.bincount(self.holders[first + np.arange(sizes.sum())], minlength=len(self.sought))
+        return np.flatnonzero(counts >= self.needed)
+
+    def windows_of(self, text: Words, which: int) -> list[tuple[float, int, int]]:
+        """``(dice, first word, end)`` of the windows of one template, at most twice its words long.
+
+        A stretch of that length is counted forward, each bigram once while it is inside, and only where it
+        holds enough of the template its best window is measured. After a measurement the count goes on
+        at least half a template further, so a text is passed a bounded number of times.
+        """
+        size, words, name, own = self.sought[which]
+        at = np.flatnonzero(np.isin(text.gram, self.numbers[which]))
+        span, needed = 2 * words, int(self.needed[which])
+        out: list[tuple[float, int, int]] = []
+        inside: dict[int, int] = {}
+        lo, free = 0, 0  # first counted hit, and the word before which no window may begin
+        for hi in range(len(at)):
+            g = int(text.gram[at[hi]])
+            inside[g] = inside.get(g, 0) + 1
+            while lo <= hi and (at[lo] < free or at[hi] - at[lo] >= span):
+                old = int(text.gram[at[lo]])
+                inside[old] -= 1
+                if not inside[old]:
+                    del inside[old]
+                lo += 1
+            if lo > hi or len(inside) < needed:
                 continue
-            i = 0
-            while i < len(grams):
-                if grams[i] not in own:
-                    i += 1
-                    continue
-                hi, score = _reach(grams, own, i, 1, words, t)
-                if score < t * size - 1e-9:
-                    i = hi + 1
-                    continue
-                lo, _ = _reach(grams, own, hi, -1, words, t)
-                lo = max(lo, i)
-                held = set(grams[lo : hi + 1])
-                other = VARIANTS.get(name)
-                label = other[1] if other and other[0] in held else name
-                found.append((-2 * len(held & own) / (len(held) + size), label, places[lo][0], places[hi + 1][1]))
-                i = hi + 1
-        out: list[tuple[str, float, str, int, int]] = []
-        for dice, name, lo, hi in sorted(found):
-            if all(hi <= x[3] or x[4] <= lo for x in out):
-                out.append((name, -dice, "window", lo, hi))
+            start = begin = int(at[lo])
+            for _ in range(2):  # the first stretch may begin in front of the window and so end inside it
+                end = self._reach(text, own, begin, 1, span)
+                begin = self._reach(text, own, end, -1, end - start + 1)
+            grams = text.grams(begin, end + 2)
+            dice = 2 * len(grams & own) / (len(grams) + size)
+            if dice >= self.threshold:
+                out.append((dice, begin, end + 2))
+                free = end + 1
+            else:
+                free = start + max(1, words // 2)
         return out
 
-    def sentences(self, text: str, lines: list[tuple[int, int]]) -> list[tuple[str, float, str, int, int]]:
-        """Matching sentences outside the given lines, which match as a whole."""
-        w = words_of(text)
-        shared, least = self.phrase_grams.intersection(zip(w, w[1:])), self.threshold / (2 - self.threshold)
-        if not any(len(shared & own) >= least * size - 1e-9 for size, _, own in self.known):
-            return []
-        out, at = [], 0
-        edges = [m.span() for m in SENTENCE_BREAK.finditer(text)]
-        for end, after in [*edges, (len(text), len(text))]:
-            if at < end and all(end <= lo or hi <= at for lo, hi in lines):
-                match = self.best(text[at:end])
-                if match:
-                    out.append((match[1], match[0], "sentence", at, end))
-            at = after
-        return out
+    def _reach(self, text: Words, own: frozenset, at: int, step: int, most: int) -> int:
+        """The place, at most ``most`` steps away, up to which 2 x shared - t x distinct bigrams is greatest."""
+        seen, score, best, where, w = set(), 0.0, 0.0, at, text.words
+        for i in range(at, max(-1, at - most) if step < 0 else min(len(w) - 1, at + most), step):
+            g = (w[i], w[i + 1])
+            if g not in seen:
+                seen.add(g)
+                score += 2 - self.threshold if g in own else -self.threshold
+                if score > best:
+                    best, where = score, i
+        return where
 
     def scan(self, text: str | None) -> list[tuple[str, float, str, int, int]]:
         """``(license, dice, kind, start, end)`` of every matching section, in page order."""
-        text, out, seen = text or "", [], set()
-        cuts = [("line", [(m.start(), m.end()) for m in re.finditer(r"[^\n]+", text)])]
-        edges = [0, *(x for m in PARAGRAPHS.finditer(text) for x in (m.start(), m.end())), len(text)]
-        cuts += [("paragraph", list(zip(edges[::2], edges[1::2]))), ("text", [(0, len(text))])]
-        for kind, spans in cuts:
-            for lo, hi in spans:
-                if (lo, hi) not in seen:
-                    seen.add((lo, hi))
-                    match = self.best(text[lo:hi])
-                    if match:
-                        out.append((match[1], match[0], kind, lo, hi))
-        whole = [(x[3], x[4]) for x in out if x[2] != "text"]
-        listed = {(x[3], x[4]): n for n, x in enumerate(out)}
-        for x in [*self.sentences(text, whole), *self.windows(text)]:
-            n = listed.setdefault((x[3], x[4]), len(out))
-            if n == len(out):
-                out.append(x)
-            elif x[1] > out[n][1]:
-                out[n] = x
+        text = Words(text or "", self)
+        possible = self.possible(text)
+        if not len(possible):
+            return []
+        out, seen = [], {}
+        lines = text.line
+        ends = text.end
+        starts = np.concatenate([[0], ends[:-1] + 1])
+
+        def judge(kind: str, first: int, last: int) -> None:
+            """Lines first to last as one section."""
+            lo, hi = int(lines[first]), int(lines[last + 1])
+            place = (int(starts[first]), int(ends[last]))
+            if place in seen or text.held(lo, hi) < self.fewest:
+                return
+            match = self.best_of(text.grams(lo, hi))
+            if match:
+                seen[place] = len(out)
+                out.append((match[1], match[0], kind, *place))
+
+        counts = text.hits[np.maximum(lines[1:] - 1, lines[:-1])] - text.hits[lines[:-1]]
+        for k in np.flatnonzero(counts >= self.fewest).tolist():
+            judge("line", k, k)
+        blank = [not text.text[a:b].strip(" \t\r\f\v") for a, b in zip(starts.tolist(), ends.tolist())]
+        first = 0
+        for k in range(len(blank)):
+            # a blank line ends a paragraph; the first and the last line of a text never are a break by themselves
+            if blank[k] and 0 < k < len(blank) - 1:
+                if first < k:
+                    judge("paragraph", first, k - 1)
+                first = k + 1
+        if first < len(blank):
+            judge("paragraph", first, len(blank) - 1)
+        judge("text", 0, len(blank) - 1)
+        taken = [(x[3], x[4]) for x in out if x[2] != "text"]
+        found = [[], []]  # full texts, then phrases and notices
+        for which in possible.tolist():
+            other = VARIANTS.get(self.sought[which][2])
+            for dice, lo, hi in self.windows_of(text, which):
+                name = other[1] if other and which < len(self.bodies) and other[0] in text.grams(lo, hi) else self.sought[which][2]
+                found[which >= len(self.bodies)].append((-dice, name, text.places[lo][0], text.places[hi - 1][1]))
+        for phrases, windows in enumerate(found):
+            covered = bytearray(len(text.clean))
+            for lo, hi in taken if phrases else []:
+                covered[lo:hi] = b"\1" * (hi - lo)
+            for dice, name, lo, hi in sorted(windows):
+                if covered.find(1, lo, hi) >= 0:
+                    continue
+                covered[lo:hi] = b"\1" * (hi - lo)
+                taken.append((lo, hi))
+                n = seen.setdefault((lo, hi), len(out))
+                if n == len(out):
+                    out.append((name, -dice, "window", lo, hi))
+                elif -dice > out[n][1]:
+                    out[n] = (name, -dice, "window", lo, hi)
         return sorted(out, key=lambda x: (x[3], x[4]))
 
 
@@ -263,7 +344,8 @@ def scanned(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     """``docs`` with ``licenses``, one (license, dice, kind, start, end) per matching section.
 
     Places are code points, ends exclusive. A null or empty text, and one without two words in a
-    row, matches nothing. Each section shows its best template, by name among equals. Rows are
+    row, matches nothing. Each section shows its best template, by name among equals. Of overlapping
+    windows the best one stays; a window is at most twice as long as its template. Rows are
     judged one by one; repeated rows stay, an existing ``licenses`` is replaced.
     """
 
@@ -295,6 +377,7 @@ def _templates_sql() -> str:
     )
 
 
+#: Lines, paragraphs and whole texts. Windows have no SQL form; the tests hold them against a search of all windows.
 OP2_SQL = rf"""
 WITH k(tid, license, grams) AS (VALUES {_templates_sql()}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),

@@ -26,46 +26,72 @@ KINDS = (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("vendor", VENDOR
 BASE_KINDS = 3  # the first ones always count; the others only as live credentials
 
 ASSIGN_MIN = 6  # characters of an assigned value
-EXAMPLE_OWNERS = 3  # a value with so many owners is a copied example
+EXAMPLE_OWNERS = 3  # a value with so many owners is a copied example,
+EXAMPLE_REPOS = 100  # and so is one that two owners hold in so many repositories
+CHUNK = 256  # matches of a text whose places are added up together
 LIVE_CHARS = 6  # distinct characters of a value that is no placeholder
 MASK = "<secret>"
 
 SPAN = "struct<start:int,no:int,end:int,kind:string,value:string>"
 
 
+def _before(sizes: Column) -> Column:
+    """Sum of the numbers in front of each one, in chunks, so that long arrays are not copied again and again."""
+    size, last = F.size(sizes), F.lit(CHUNK)
+    none = F.array().cast("array<long>")
+
+    def add(acc: Column, x: Column) -> Column:
+        return F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    def running(xs: Column) -> Column:
+        return F.aggregate(xs, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")), add)
+
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor(F.greatest(size - 1, F.lit(0)) / last).cast("int")), lambda i: running(F.slice(sizes, i * last + 1, last))
+    )
+    return _let(chunks, lambda parts: F.flatten(F.zip_with(
+        running(F.transform(parts, lambda p: p["at"]))["out"], F.transform(parts, lambda p: p["out"]),
+        lambda first, xs: F.transform(xs, lambda x: x + first),
+    )))
+
+
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _places(text: Column, no: int) -> Column:
     """Matches of one kind with their places in code points.
 
-    Matches come in order and do not overlap, and no pattern looks around itself, so each is the
-    first occurrence of its own text after the previous match.
+    The text is cut at its matches once; a match stands where the pieces and matches before it end.
     """
     kind, pattern = KINDS[no]
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.transform(F.split(text, pattern, -1), lambda p: F.char_length(p).cast("long"))
 
-    def add(acc: Column, m: Column) -> Column:
-        at = F.call_function("locate", m, text, acc["at"])
-        value = F.regexp_extract(m, ASSIGN, 2) if kind == "assign" else m
-        span = F.struct(
-            (at - 1).alias("start"), F.lit(no).alias("no"), (at - 1 + F.char_length(m)).alias("end"),
-            F.lit(kind).alias("kind"), value.alias("value"),
-        ).cast(SPAN)
-        return F.struct((at + F.char_length(m)).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def spans(cut: Column) -> Column:
+        gap = F.slice(cut["pieces"], F.lit(1), F.size(cut["found"]))
+        both = F.zip_with(gap, cut["found"], lambda p, m: p + F.char_length(m))
+        starts = F.zip_with(_before(both), gap, lambda s, p: s + p)
 
-    start = F.struct(F.lit(1).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-    spans = F.aggregate(found, start, add, lambda acc: acc["out"])
-    return F.filter(spans, lambda s: F.char_length(s["value"]) >= ASSIGN_MIN) if kind == "assign" else spans
+        def span(start: Column, m: Column) -> Column:
+            value = F.regexp_extract(m, ASSIGN, 2) if kind == "assign" else m
+            return F.struct(
+                start.alias("start"), F.lit(no).alias("no"), (start + F.char_length(m)).alias("end"),
+                F.lit(kind).alias("kind"), value.alias("value"),
+            ).cast(SPAN)
 
+        return F.zip_with(starts, cut["found"], span)
 
-def candidates(text: Column) -> Column:
-    """All candidate spans of a text by start, then kind."""
-    return F.array_sort(F.concat(*[_places(text, no) for no in range(len(KINDS))]))
+    out = _let(F.struct(found.alias("found"), pieces.alias("pieces")), spans)
+    return F.filter(out, lambda s: F.char_length(s["value"]) >= ASSIGN_MIN) if kind == "assign" else out
 
 
-def _may_hold(text: Column) -> Column:
-    hit = F.lit(False)
-    for _, pattern in KINDS:
-        hit = hit | text.rlike(pattern)
-    return hit
+def candidates(text: Column) -> Column:
+    """All candidate spans of a text by start, then kind."""
+    none = F.array().cast(f"array<{SPAN}>")
+    found = [F.when(text.rlike(pattern), _places(text, no)).otherwise(none) for no, (_, pattern) in enumerate(KINDS)]
+    return F.array_sort(F.concat(*found))
 
 
 def ownership(found: DataFrame, owner: str, repository: str) -> DataFrame:
@@ -83,35 +109,40 @@ def ownership(found: DataFrame, owner: str, repository: str) -> DataFrame:
     return per_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"))
 
 
-def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id",
+         keep_text: bool = True) -> DataFrame:
     """``docs`` with ``secret_spans``, an array of (start, no, end, kind, value, n_owners, n_repos, live).
 
-    Base spans are all there; spans of further kinds only if live: fewer than EXAMPLE_OWNERS owners
-    and no placeholder. Places are code points, ends exclusive. A null or empty text has an empty
+    Base spans are all there; spans of further kinds only if live: no placeholder, and held by fewer than
+    EXAMPLE_OWNERS owners, of whom two not in EXAMPLE_REPOS repositories or more. Every text is searched
+    once, and what was found is written with the rows, without the texts if ``keep_text`` is False. Places are code points, ends exclusive. A null or empty text has an empty
     array. A null owner or repository counts as one of its own. Repeated rows stay, other columns
     are kept, an existing ``secret_spans`` is replaced. Verdicts depend on the text and the corpus
     alone, so rows meet their verdicts by a digest of the text and rows without candidates do not
     meet at all.
     """
     columns = [c for c in docs.columns if c != "secret_spans"]
-    docs = docs.select(*[F.col(f"`{c}`") for c in columns])
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    kept = [F.col(f"`{c}`") for c in columns if keep_text or c != text]
     scratch = Scratch(docs.sparkSession, "secrets")
-    found = docs.filter(_may_hold(whole)).withColumns({"__spans": candidates(whole), "__text": F.sha2(whole, 256)})
-    found = scratch.write(found, "found")
+    searched = docs.select(*kept, candidates(whole).alias("__spans"), whole.alias("__whole"))
+    held = F.size("__spans") > 0
+    searched = searched.withColumn("__text", F.when(held, F.sha2(F.col("__whole"), 256))).drop("__whole")
+    searched = scratch.write(searched, "searched")
+    found = searched.filter(held)
 
     one = found.groupBy("__text").agg(F.first("__spans").alias("spans"))
     spans = one.select("__text", F.explode("spans").alias("s")).withColumn("hash", F.sha2("s.value", 256))
     judged = spans.join(ownership(found, owner, repository), "hash")
     varied = F.size(F.array_distinct(F.split("s.value", ""))) >= LIVE_CHARS
-    live = (F.col("n_owners") < EXAMPLE_OWNERS) & varied
-    judged = judged.withColumn("live", live).filter(F.col("live") | (F.col("s.no") < BASE_KINDS))
+    copied = (F.col("n_owners") >= EXAMPLE_OWNERS) | ((F.col("n_owners") > 1) & (F.col("n_repos") >= EXAMPLE_REPOS))
+    judged = judged.withColumn("live", ~copied & varied).filter(F.col("live") | (F.col("s.no") < BASE_KINDS))
     judged = judged.groupBy("__text").agg(F.array_sort(F.collect_list(F.struct("s.*", "n_owners", "n_repos", "live"))).alias("secret_spans"))
     judged = scratch.write(judged, "judged")
-    kind = judged.schema["secret_spans"].dataType
-    none = F.array().cast(kind)
-    held = found.drop("__spans").join(judged, "__text", "left").drop("__text").withColumn("secret_spans", F.coalesce("secret_spans", none))
-    return docs.filter(~_may_hold(whole)).withColumn("secret_spans", none).unionByName(held)
+    none = F.array().cast(judged.schema["secret_spans"].dataType)
+    out = found.drop("__spans").join(judged, "__text", "left").withColumn("secret_spans", F.coalesce("secret_spans", none))
+    rest = searched.filter(~held).drop("__spans").withColumn("secret_spans", none)
+    return rest.unionByName(out).drop("__text")
 
 
 def redact(docs: DataFrame, text: str = "text", **scan_options) -> DataFrame:
@@ -142,7 +173,7 @@ def _joined(spans: Column) -> Column:
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: number of base spans by kind, digest of the base spans, and all spans."""
-    rows = scan(docs.select("doc_id", "text", "source"))
+    rows = scan(docs.select("doc_id", "text", "source"), keep_text=False)
     base = F.filter("secret_spans", lambda s: s["no"] < BASE_KINDS)
 
     def number(no: int) -> Column:
@@ -171,8 +202,9 @@ p AS (SELECT rid, no, kind, ms[i] AS m, (list_sum(list_transform(ps[1:i], lambda
 v AS (SELECT rid, no, kind, s, s + length(m) AS e,
         CASE WHEN no = 0 THEN regexp_extract(m, '{ASSIGN.replace("'", "''")}', 2) ELSE m END AS value FROM p),
 c AS (SELECT v.*, doc_id, source FROM v JOIN d USING (rid) WHERE no > 0 OR length(value) >= {ASSIGN_MIN}),
-o AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners FROM c GROUP BY value),
-j AS (SELECT c.*, owners < {EXAMPLE_OWNERS} AND len(list_distinct(string_split(value, ''))) >= {LIVE_CHARS} AS live
+o AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners,
+        count(DISTINCT [coalesce(source, chr(0)), coalesce(doc_id::VARCHAR, '')]) AS repos FROM c GROUP BY value),
+j AS (SELECT c.*, owners < {EXAMPLE_OWNERS} AND (owners = 1 OR repos < {EXAMPLE_REPOS}) AND len(list_distinct(string_split(value, ''))) >= {LIVE_CHARS} AS live
       FROM c JOIN o USING (value)),
 g AS (SELECT rid, count(*) FILTER (no = 0) AS n_assign, count(*) FILTER (no = 1) AS n_access,
         count(*) FILTER (no = 2) AS n_hex, count(*) FILTER (live) AS n_live,

@@ -38,6 +38,7 @@ _BASE = 0xD1342543DE82EF95
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 BLOCK = 1 << 20  # bytes of text hashed at a time
+SALTS = 64  # tasks over which the rows of one set are spread
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -263,6 +264,16 @@ def _across(prefixes: DataFrame, scratch: Scratch) -> DataFrame:
     return pairs.select(F.least("rep1", "rep").alias("a"), F.greatest("rep1", "rep").alias("b")).distinct()
 
 
+def _representatives(named: DataFrame) -> DataFrame:
+    """``(key, salt, rep)`` for sets that several rows have: least id of the set, once per salt in use.
+
+    A set meets its rows by salt, so that a group of copies of any size is spread over SALTS tasks.
+    """
+    parts = named.groupBy("key", "salt").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    first = parts.groupBy("key").agg(F.min("least").alias("rep"), F.sum("n").alias("n")).filter("n > 1")
+    return parts.select("key", "salt").join(first.select("key", "rep"), "key")
+
+
 def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_shingles, component_id, kept)``, one row per row of ``docs``.
 
@@ -277,11 +288,11 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     scratch = Scratch(docs.sparkSession, "minhash")
     source = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     base = scratch.write(source.select("id", sketch("text").alias("s")).select("id", "s.*"), "sketches")
-    named = base.filter("n > 0 AND id IS NOT NULL")
-    first = named.groupBy("key").agg(F.min("id").alias("rep"))
+    named = base.filter("n > 0 AND id IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    heads = scratch.write(_representatives(named), "heads")
+    members = named.join(heads, ["key", "salt"], "left").withColumn("rep", F.coalesce("rep", "id"))
     members = scratch.write(
-        named.join(first, "key").select("id", "rep", "n", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")),
-        "members",
+        members.select("id", "rep", "n", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "members"
     )
     exploded = members.filter("id = rep").select("rep", F.col("n").cast("int").alias("n"), F.explode("bands").alias("bucket"))
     hits = scratch.write(exploded.join(_repeated(exploded, "bucket", "met"), "bucket"), "hits")

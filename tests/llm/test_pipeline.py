@@ -29,20 +29,30 @@ def mix_by_hand(rows, weights, chars):
 
 
 def redacted(rows):
-    """Base spans of values that fewer than three sources hold, masked in their texts."""
-    def value(text, no, lo, hi):
-        return re.search(r"[A-Za-z0-9+/_.=-]+\Z", text[lo:hi])[0] if no == 0 else text[lo:hi]
+    """Values that fewer than three sources hold, masked in their texts, overlapping ones together."""
+    vendor = re.compile(secrets.VENDOR)
 
-    owners = {}
-    for _, text, source in rows:
+    def values(text):
         for lo, no, hi in base_spans(text):
-            owners.setdefault(value(text, no, lo, hi), set()).add(source)
+            v = re.search(r"[A-Za-z0-9+/_.=-]+\Z", text[lo:hi])[0] if no == 0 else text[lo:hi]
+            yield hi - len(v), hi, v
+        yield from ((m.start(), m.end(), m[0]) for m in vendor.finditer(text))
+
+    owners, repos = {}, {}
+    for i, text, source in rows:
+        for _, _, v in values(text):
+            owners.setdefault(v, set()).add(source)
+            repos.setdefault(v, set()).add((source, i))
     for i, text, source in rows:
         out, at = "", 0
-        for lo, no, hi in base_spans(text):
-            v = value(text, no, lo, hi)
-            if len(owners[v]) < 3 and len(set(v)) >= 6 and hi - len(v) >= at:
-                out, at = out + text[at : hi - len(v)] + secrets.MASK, hi
+        live = [
+            (lo, hi) for lo, hi, v in values(text)
+            if len(set(v)) >= 6 and len(owners[v]) < 3 and (len(owners[v]) == 1 or len(repos[v]) < secrets.EXAMPLE_REPOS)
+        ]
+        for lo, hi in sorted(live):
+            if lo >= at:
+                out += text[at:lo] + secrets.MASK
+            at = max(at, hi)
         yield i, out + text[at:]
 
 

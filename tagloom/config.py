@@ -80,6 +80,10 @@ RF_TREES = 300
 RF_MAX_DEPTH = 30  # Spark's ceiling; stands for "unlimited"
 FFNN_HIDDEN = (512, 256, 128)
 FFNN_EPOCHS = 30
+FFNN_DROPOUT = 0.35
+FFNN_RATE = 1e-3
+FFNN_WEIGHT_DECAY = 1e-5
+FFNN_BATCH_SIZE = 64
 
 
 PROMPT_TASKS = ("classification", "clustering")

@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
@@ -31,7 +30,8 @@ from .articles import encode_labels
 from .boosting import GradientBoosting, fit_gbm  # noqa: F401
 from .evaluation import classification_scores
 from .features import row_count, term_counts, tfidf, vocabulary
-from .ranking import oversample, stratified_kfold
+from .ffnn import FeedForward, fit_ffnn  # noqa: F401
+from .ranking import stratified_kfold
 from .svm import CalibratedSvc, fit_svc_calibrated  # noqa: F401
 
 _COLUMNS = dict(featuresCol="features", labelCol="label_idx")
@@ -115,34 +115,6 @@ def fit_majority(train: DataFrame) -> MajorityClass:
     return MajorityClass(row[0], int(row[1]) + 1)
 
 
-def fit_ffnn(train: DataFrame, key: str, hidden: Sequence[int] = cfg.FFNN_HIDDEN, epochs: int = cfg.FFNN_EPOCHS,
-             stages: int = 3, seed: int = cfg.SEED, classes: int | None = None) -> FittedClassifier:
-    """Feed-forward net on a balanced training set; keeps the stage with the best validation accuracy.
-
-    Validation rows are a fold of their own. Each stage continues from the weights of the last.
-    """
-    with compact(stratified_kfold(_columns(train, key), "label_idx", key)) as rows:
-        width = rows.select("features").first()[0].size
-        classes = classes or int(rows.agg(F.max("label_idx")).first()[0]) + 1
-        held_out = rows.where(F.col("fold") == 0)
-        balanced = oversample(rows.where(F.col("fold") != 0), "label_idx", key).select("features", "label_idx")
-        best, best_score, start = None, -1.0, None
-        with compact(balanced) as fit_on:
-            for _ in range(stages):
-                net = MultilayerPerceptronClassifier(
-                    layers=[width, *hidden, classes], maxIter=max(1, epochs // stages), seed=seed, **_COLUMNS
-                )
-                if start is not None:
-                    net = net.setInitialWeights(start)
-                model = net.fit(fit_on)
-                start = model.weights
-                hit = (F.col("prediction") == F.col("label_idx")).cast("double")
-                score = model.transform(held_out).agg(F.coalesce(F.avg(hit), F.lit(0.0))).first()[0]
-                if score > best_score:
-                    best, best_score = model, score
-    return FittedClassifier(best)
-
-
 Fit = Callable[[DataFrame], object]
 
 

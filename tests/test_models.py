@@ -206,7 +206,7 @@ def training(spark, blobs):
 def test_classifiers_on_blobs(spark, blobs, tmp_path):
     train = training(spark, blobs).persist()
     fits = {"lr": ln.fit_lr, "nb": ln.fit_gaussian_nb, "rf": lambda t: ln.fit_rf(t, 5, 4), "gbm": lambda t: ln.fit_gbm(t, 2, 2),
-            "svc": lambda t: ln.fit_svc_calibrated(t, "id", 2, 10), "ffnn": lambda t: ln.fit_ffnn(t, "id", (4,), 20, 2)}
+            "svc": lambda t: ln.fit_svc_calibrated(t, "id", 2, 10), "ffnn": lambda t: ln.fit_ffnn(t, "id", (16,), 60)}
     for name, fit in fits.items():
         model = fit(train)
         out = model.transform(train)

@@ -25,7 +25,7 @@ from .registry import query, table
 ORDER = 3
 ROWS_PER_LANG = 400  # the bounded sample that a tree is learned from: whole texts, chosen by digest
 MIN_CONTEXT = 4  # a longer context must be seen so often, over all languages, to get a node
-MAX_GRAMS = 400_000  # most frequent (language, context, byte) counts that a model keeps
+GRAMS_PER_LANG = 100_000  # most frequent (context, byte) counts that a model keeps of each language
 START = b"\n" * ORDER  # stands before every text
 BLOCK = 1 << 20
 UNKNOWN = "und"
@@ -55,11 +55,21 @@ def _count_grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @dataclass
 class Model:
-    """Frozen counts: ``n[g, l]`` occurrences of gram ``g`` (context and follower) in language ``l``."""
+    """Frozen counts, as rows.
+
+    Language ``lang[i]`` holds gram ``gram[i]`` (context and follower) ``n[i]`` times. Of the kept contexts, language
+    ``at_lang[j]`` has context ``context[j]`` with ``total[j]`` followers, ``distinct[j]`` different ones, whether
+    all of them are kept or not.
+    """
 
     langs: list[str]
-    grams: np.ndarray
+    lang: np.ndarray
+    gram: np.ndarray
     n: np.ndarray
+    at_lang: np.ndarray
+    context: np.ndarray
+    total: np.ndarray
+    distinct: np.ndarray
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def compiled(self) -> "Costs":
@@ -73,9 +83,10 @@ class Costs:
     """The trees unrolled: ``cost[context * 256 + byte]`` in nats for every language."""
 
     def __init__(self, model: Model):
-        contexts, of = np.unique(model.grams >> 8, return_inverse=True)  # length tag counts the follower
-        total = np.zeros((len(contexts), len(model.langs)))
-        np.add.at(total, of, model.n)
+        contexts, of = np.unique(model.gram >> 8, return_inverse=True)  # length tag counts the follower
+        total, different = np.zeros((2, len(contexts), len(model.langs)))
+        place = np.searchsorted(contexts, model.context)
+        total[place, model.at_lang], different[place, model.at_lang] = model.total, model.distinct
         often = total.sum(axis=1) >= MIN_CONTEXT
         size = np.zeros(len(contexts), np.int64)
         for length in range(ORDER + 1):
@@ -100,8 +111,8 @@ class Costs:
             nodes.append(key)
             rows = order[bounds[i] : bounds[i + 1]]
             seen = np.zeros((256, len(model.langs)))
-            seen[model.grams[rows] & 255] = model.n[rows]
-            distinct = (seen > 0).sum(axis=0)
+            seen[model.gram[rows] & 255, model.lang[rows]] = model.n[rows]
+            distinct = different[i]
             weight = np.maximum(total[i] + distinct, 1)
             escape = np.where(distinct > 0, -np.log(np.maximum(distinct, 1) / weight), 0.0)
             with np.errstate(divide="ignore"):
@@ -146,11 +157,13 @@ class Costs:
 _COMPILED: dict[str, Costs] = {}
 
 
-def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", rows_per_lang: int = ROWS_PER_LANG) -> Model:
+def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", rows_per_lang: int = ROWS_PER_LANG,
+        grams_per_lang: int = GRAMS_PER_LANG) -> Model:
     """Trees of every language of ``labelled``, from about ``rows_per_lang`` whole texts each.
 
     Texts are chosen by a digest of the text, repeated ones once; rows without a text or label teach
-    nothing. The model has at most MAX_GRAMS counts, whatever the input.
+    nothing. A model keeps the ``grams_per_lang`` most frequent counts of each language, the same number for
+    all, with the true totals and numbers of distinct followers of every context it keeps.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -163,13 +176,21 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", rows_per_la
     sample = drawn.withColumn("place", place).filter(F.col("place") <= rows_per_lang).select("lang", "text")
     sample = Scratch(spark, "langid").write(sample, "sample")
     grams = sample.mapInPandas(_count_grams, GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    kept = grams.orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS).collect()
-    langs = sorted({r.lang for r in kept})
-    codes, place_of = np.unique(np.array([r.gram for r in kept], np.int64), return_inverse=True)
-    n = np.zeros((len(codes), len(langs)), np.int64)
-    column = {x: i for i, x in enumerate(langs)}
-    n[place_of, [column[r.lang] for r in kept]] = [r.n for r in kept]
-    return Model(langs, codes, n)
+    scratch = Scratch(spark, "langid-grams")
+    grams = scratch.write(grams.withColumn("context", F.shiftright("gram", 8)), "grams")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    kept = scratch.write(grams.withColumn("rank", rank).filter(F.col("rank") <= grams_per_lang).drop("rank"), "kept")
+    contexts = grams.join(kept.select("context").distinct(), "context", "left_semi")
+    contexts = contexts.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"))
+    k, c = kept.toPandas(), contexts.toPandas()
+    langs = sorted(set(k["lang"]))
+    number = {x: i for i, x in enumerate(langs)}
+
+    def column(frame: pd.DataFrame, name: str) -> np.ndarray:
+        return frame[name].to_numpy(np.int64)
+
+    of_k, of_c = (np.array([number[x] for x in f["lang"]], np.int64) for f in (k, c))
+    return Model(langs, of_k, column(k, "gram"), column(k, "n"), of_c, column(c, "context"), column(c, "total"), column(c, "distinct"))
 
 
 VERDICT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

@@ -58,6 +58,31 @@ def test_code_lengths(spark):
         assert g == pytest.approx(slow.lengths(t), rel=1e-5)
 
 
+def test_thirty_languages_one_of_them_tiny(spark):
+    """The bound holds for each language by itself: a rare one keeps its tree."""
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0x61, 0x7B)]
+    words = {f"l{i:02d}": ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 8))) for _ in range(60)] for i in range(30)}
+    rows = [(x, " ".join(rng.choice(w) for _ in range(80))) for x, w in words.items() for _ in range(2 if x == "l17" else 40)]
+    model = langid.fit(spark.createDataFrame(rows, "lang string, text string"), grams_per_lang=1100)
+    assert model.langs == sorted(words) and all(600 < (model.lang == i).sum() <= 1100 for i in range(30))
+    slow = Slow({x: [t for y, t in rows if y == x] for x in words})
+    kept = {(int(c), int(x)): (int(t), int(d)) for c, x, t, d in zip(model.context, model.at_lang, model.total, model.distinct)}
+    for (code, at), (total, distinct) in list(kept.items())[:500]:
+        size = (code.bit_length() - 1) // 8
+        counts = slow.counts[model.langs[at]][(code & ((1 << (8 * size)) - 1)).to_bytes(size, "big")]
+        assert (total, distinct) == (sum(counts.values()), len(counts))
+    asked = [(x, " ".join(rng.choice(w) for _ in range(30))) for x, w in words.items()] + [("l17", " ".join(rng.choice(words["l17"]) for _ in range(40_000)))]
+    names, _ = langid.judge(model, [t.encode() for _, t in asked], [True] * len(asked))
+    assert list(names) == [x for x, _ in asked]
+
+
+def test_equal_code_lengths_go_to_the_lesser_name(spark):
+    model = langid.fit(spark.createDataFrame([("bb", "abc abc"), ("aa", "abc abc")], "lang string, text string"))
+    names, scores = langid.judge(model, [b"abc"], [True])
+    assert list(names) == ["aa"] and scores[0] == pytest.approx(0.5)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
     rows = langid.op3_language_id(spark, SF_DIR).join(docs, "doc_id").collect()

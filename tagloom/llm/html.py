@@ -31,7 +31,7 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']
 
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noframes template svg math canvas object".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noframes template svg canvas object".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup legend li main menu nav ol p pre section summary table caption tbody td tfoot th thead tr ul".split()
@@ -56,13 +56,20 @@ COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies".
 HEADINGS = frozenset("header masthead banner".split())  # noise unless inside the article
 CONTENT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre ul ol dl figure table section".split())
 PROSE_TAGS = frozenset("p blockquote pre".split())
+TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre li dt dd td th caption figcaption".split())
 OFF, DOUBTFUL = 2, 1  # noise for certain; noise by a class or id unless it holds most of the page
 WORD = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 def _noise(name: str, attrs: str, inside: bool) -> int:
-    """Whether an element is no part of any article, by its name, role, classes or id."""
+    """Whether an element is no part of any article, by its name, role, classes or id.
+
+    Inside an article, classes and ids say nothing about its headings, paragraphs and cells, and a
+    compound such as "related-work" is doubtful only.
+    """
+    if name in ("form", "fieldset") and not inside:
+        return DOUBTFUL
     if name in NOISE_TAGS or (name == "header" and not inside):
         return OFF
     if not attrs or name in ("html", "body"):
@@ -72,11 +79,16 @@ def _noise(name: str, attrs: str, inside: bool) -> int:
         return OFF
     if HIDDEN.search(found.get("style", "")) or re.search(r"(?:^|\s)hidden(?=[\s/]|$)", attrs):
         return OFF
-    words = set(WORD.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
+    if inside and name in TEXT_TAGS:
+        return 0
+    named = f"{found.get('class', '')} {found.get('id', '')}".lower()
+    words = set(WORD.findall(named))
     if words & COMMENT_WORDS and name != "main":
         return OFF
     if not words & NOISE_WORDS or name in ("article", "main") or (inside and words & HEADINGS):
         return 0
+    if inside and not NOISE_WORDS.isdisjoint(named.split()):
+        return OFF
     return DOUBTFUL
 
 
@@ -177,13 +189,20 @@ class Page:
                 stack.append((name, node, link or name == "a", inside))
 
     def _off(self) -> list[bool]:
-        """Blocks inside noise. A doubtful one that holds most of a page without an article is none."""
+        """Blocks inside noise.
+
+        A doubtful one is none where it holds most of a page without an article, or where it is mostly
+        link-poor paragraphs inside an article.
+        """
         n = len(self.parent)
-        sure, off = [False] * n, [False] * n
+        sure, off, inside = [False] * n, [False] * n, [False] * n
+        prose, whole = self._prose()
         for i in range(n):
             up = self.parent[i]
+            inside[i] = self.name[i] in ("article", "main") or (i > 0 and inside[up])
             sure[i] = self.noise[i] == OFF or (i > 0 and sure[up])
-            off[i] = self.noise[i] > 0 or (i > 0 and off[up])
+            doubt = self.noise[i] == DOUBTFUL and not (i > 0 and inside[up] and 2 * prose[i] >= whole[i])
+            off[i] = self.noise[i] == OFF or doubt or (i > 0 and off[up])
         if any(self.name[i] in ("article", "main") and not off[i] for i in range(n)):
             return off
         size = [0 if sure[i] else self.chars[i] - self.link_chars[i] for i in range(n)]
@@ -194,6 +213,17 @@ class Page:
             off[i] = sure[i] or doubt or (i > 0 and off[self.parent[i]])
         return off
 
+    def _prose(self) -> tuple[list[int], list[int]]:
+        """Characters of each block in link-poor paragraphs, and all of its characters."""
+        n = len(self.parent)
+        prose, whole, links = [0] * n, self.chars[:], self.link_chars[:]
+        for i in range(n - 1, 0, -1):
+            up = self.parent[i]
+            if self.name[i] in PROSE_TAGS and 10 * links[i] <= 3 * whole[i]:
+                prose[i] = whole[i]
+            prose[up], whole[up], links[up] = prose[up] + prose[i], whole[up] + whole[i], links[up] + links[i]
+        return prose, whole
+
     def main_nodes(self) -> list[bool]:
         """Which blocks belong to the main text."""
         n = len(self.parent)
@@ -226,6 +256,12 @@ class Page:
         # density grows with size, so the best subtree says nothing about what smaller parts of it must have
         threshold = min((density[i] for i in path[1:]), default=density[best])
         roots = {article[-1] if article else best}
+        if article and self.name[article[-1]] == "article":  # an article may come in several elements side by side
+            prose, _ = self._prose()
+            for i in range(1, n):
+                if self.name[i] == "article" and self.parent[i] == self.parent[article[-1]] and c[i] and 10 * lc[i] <= 3 * c[i]:
+                    if density[i] >= threshold or 2 * prose[i] >= c[i]:
+                        roots.add(i)
         if not article:  # what else on the way is as dense as the body, the headings, lists and paragraphs right
             own = [0] * n  # beside the best subtree, and containers beside it that are mostly such paragraphs
             for i in range(1, n):

@@ -33,6 +33,17 @@ COMMENTS = f"<section id='comments'><article class='comment'><p>{PROSE} {PROSE}<
     (page(f"<div class='page-widget'><p>{PROSE}</p><p>{PROSE}</p></div>", NAV, "<div class='related'>Read this too</div>"), f"{PROSE}\n\n{PROSE}"),
     (page(f"<p>{PROSE}</p>", "", f"<div class='comments'><p>{PROSE} {PROSE}</p></div><div id='sidebar'>About us</div>"), PROSE),
     (page(f"<form><article><p>{PROSE}</p></article></form>"), PROSE),
+    # classes and ids inside an article name its own parts
+    (page(f"<article><h2 id='related-work'>Related work</h2><p class='notice-period'>{PROSE}</p>"
+          f"<section id='skip-lists'><h3>Skip lists</h3><p>{PROSE}</p></section><ul><li class='menu'>x</li></ul></article>", NAV),
+     f"Related work\n\n{PROSE}\n\nSkip lists\n\n{PROSE}\n\nx"),
+    (page(f"<article><p>{PROSE}</p><div class='share'><a href=a>Tell</a> friends</div><div class='newsletter'><p>Join us now.</p></div></article>"), PROSE),
+    (page(f"<article><p>{PROSE}</p><div class='related-posts'><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul></div></article>"), PROSE),
+    (page(f"<form action='/'><div><h1>Head</h1><p>{PROSE}</p><p>{PROSE} {PROSE}</p></div></form>", NAV, FOOT), f"Head\n\n{PROSE}\n\n{PROSE} {PROSE}"),
+    (page(f"<div><p>{PROSE}</p><p>{PROSE} {PROSE}</p></div>", "<form><label>Mail us here</label> <input></form>", FOOT), f"{PROSE}\n\n{PROSE} {PROSE}"),
+    (page(f"<main><article><p>{PROSE}</p></article><article><p>{PROSE} Two.</p></article></main>", NAV, FOOT), f"{PROSE}\n\n{PROSE} Two."),
+    (page(f"<article><p>{PROSE}</p></article><article><p>{PROSE} {PROSE}</p></article>", NAV, FOOT), f"{PROSE}\n\n{PROSE} {PROSE}"),
+    (page(f"<article><p>{PROSE}</p><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>"), f"{PROSE}\n\nSo x=2 holds."),
 ])
 def test_pages(html, text):
     assert main_text(html) == text
@@ -55,6 +66,9 @@ def test_generated_articles():
         marked = "".join(f"<p>{escape(b)}</p>\n" for b in blocks)
         before = rng.choice(["", NAV, MENU, "<div class='ad'>Buy now, buy here, buy this</div>"])
         assert main_text(page(f"<article>{marked}</article>", before, rng.choice(["", FOOT, COMMENTS]))) == "\n\n".join(blocks)
+        if sum(map(len, blocks)) > 600:  # density alone: nothing names the article, nothing else is named at all
+            plain = rng.choice(["", MENU, "<div>Buy now</div>"])
+            assert main_text(page(f"<div>{marked}</div>", plain, MENU)) == "\n\n".join(blocks)
 
 
 def test_deep_and_long_pages():

@@ -1,6 +1,7 @@
 """Exact top-k search over 64-bit codes by incremental multi-index hashing.
 
-A code is cut into 16-bit segments, each with its own index. Codes within distance m*a + b of a
+A code is cut into segments of about log2(n) bits for a block of n codes, each with its own index, so that
+an entry holds about one code. Codes within distance m*a + b of a
 query (m segments) agree with it in one of the first b + 1 segments up to radius a, or in another up
 to a - 1. The search grows the radii segment by segment and stops for a query as soon as its k-th
 verified distance is covered that way, so the result is exact.
@@ -8,6 +9,7 @@ verified distance is covered that way, so the result is exact.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -18,8 +20,8 @@ from pyspark.sql import types as T
 
 from .registry import query, table
 
-BITS, SEGMENT = 64, 16
-SEGMENTS = BITS // SEGMENT
+BITS = 64
+WIDTHS = (4, 16)  # least and greatest bits of a segment
 BLOCK = 1 << 16  # codes, and queries, that meet in one task
 TOGETHER = 1 << 21  # probes or candidates looked at together
 
@@ -37,64 +39,75 @@ def sign_code(vector: Column) -> Column:
     )
 
 
-def _masks(radius: int) -> np.ndarray:
-    return np.array([sum(1 << i for i in c) for c in combinations(range(SEGMENT), radius)], np.int64)
+@lru_cache(maxsize=None)
+def _masks(width: int, radius: int) -> np.ndarray:
+    """All segments with ``radius`` bits set; none beyond the width."""
+    return np.array([sum(1 << i for i in c) for c in combinations(range(width), radius)], np.int64)
 
 
-_MASKS = [_masks(r) for r in range(SEGMENT + 1)]
-
-
-def _parts(codes: np.ndarray) -> np.ndarray:
-    shifts = np.arange(SEGMENTS, dtype=np.uint64) * np.uint64(SEGMENT)
-    return ((codes[:, None] >> shifts) & np.uint64((1 << SEGMENT) - 1)).astype(np.int64)
+def segment_widths(n: int) -> list[int]:
+    """Bits of each segment for a block of ``n`` codes."""
+    wanted = min(max(n.bit_length() - 1, WIDTHS[0]), WIDTHS[1])
+    count = -(-BITS // wanted)
+    return [BITS // count + (i < BITS % count) for i in range(count)]
 
 
 class Block:
-    """Multi-index over one block of codes."""
+    """Multi-index over one block of codes; ``probed`` and ``verified`` count the entries and codes looked at."""
 
     def __init__(self, codes: np.ndarray, ids: np.ndarray):
         self.codes, self.ids = codes, ids
+        self.widths = segment_widths(len(codes))
+        self.shifts = np.cumsum([0, *self.widths[:-1]])
         self.order, self.start = [], []
-        for part in _parts(codes).T:
+        self.probed = self.verified = 0
+        for segment, width in enumerate(self.widths):
+            part = self._part(codes, segment)
             self.order.append(np.argsort(part, kind="stable"))
-            self.start.append(np.concatenate([[0], np.cumsum(np.bincount(part, minlength=1 << SEGMENT))]))
+            self.start.append(np.concatenate([[0], np.cumsum(np.bincount(part, minlength=1 << width))]))
+
+    def _part(self, codes: np.ndarray, segment: int) -> np.ndarray:
+        low = np.uint64((1 << self.widths[segment]) - 1)
+        return ((codes >> np.uint64(self.shifts[segment])) & low).astype(np.int64)
 
     def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(query, distance, id)`` rows of the k least (distance, id) of every query."""
+        """``(query, distance, id)`` rows of the k least (distance, id) of every query.
+
+        Radii grow until a query's k-th distance is covered, at the most to the widths of the segments,
+        where every code has been found.
+        """
         best = _Best(len(queries), k)
         active = np.arange(len(queries))
-        parts = _parts(queries)
-        for radius in range(SEGMENT + 1):
-            if len(_MASKS[radius]) * SEGMENTS > len(self.codes):  # cheaper to verify the whole block
-                for q in active:
-                    best.replace(q, np.bitwise_count(self.codes ^ queries[q]).astype(np.int64), self.ids)
-                break
-            for segment in range(SEGMENTS):
-                step = max(1, TOGETHER // len(_MASKS[radius]))
-                for lo in range(0, len(active), step):
-                    some = active[lo : lo + step]
-                    best.add(*self._found(some, queries, parts, radius, segment))
-                active = active[~(best.kth(active) <= SEGMENTS * radius + segment)]
+        count = len(self.widths)
+        for radius in range(max(self.widths) + 1):
+            for segment, width in enumerate(self.widths):
+                masks = _masks(width, radius)
+                step = max(1, TOGETHER // max(1, len(masks)))
+                for lo in range(0, len(active) if len(masks) else 0, step):
+                    best.add(*self._found(active[lo : lo + step], queries, radius, segment, masks))
+                active = active[~(best.kth(active) <= count * radius + segment)]
             if not len(active):
                 break
         return best.rows()
 
-    def _found(self, some, queries, parts, radius, segment):
-        values = (parts[some, segment][:, None] ^ _MASKS[radius]).ravel()
+    def _found(self, some, queries, radius, segment, masks):
+        values = (self._part(queries[some], segment)[:, None] ^ masks).ravel()
         lo, hi = self.start[segment][values], self.start[segment][values + 1]
         filled = np.flatnonzero(hi > lo)
         size = (hi - lo)[filled]
         total = int(size.sum())
         at = np.repeat(lo[filled] - np.cumsum(size) + size, size) + np.arange(total)
         rows = self.order[segment][at]
-        who = np.repeat(some[filled // len(_MASKS[radius])], size)
+        who = np.repeat(some[filled // len(masks)], size)
         apart = self.codes[rows] ^ queries[who]
         # each code counts once: where its segments first come within reach
         first = np.ones(total, bool)
-        for other in range(SEGMENTS):
+        for other in range(len(self.widths)):
             if other != segment:
-                d = np.bitwise_count((apart >> np.uint64(other * SEGMENT)) & np.uint64((1 << SEGMENT) - 1))
+                d = np.bitwise_count(self._part(apart, other))
                 first &= d > radius if other < segment else d >= radius
+        self.probed += len(values)
+        self.verified += int(first.sum())
         return who[first], np.bitwise_count(apart[first]).astype(np.int64), self.ids[rows[first]]
 
 
@@ -109,10 +122,6 @@ class _Best:
     def kth(self, queries: np.ndarray) -> np.ndarray:
         return self.distance[queries, self.k - 1]
 
-    def replace(self, q: int, distance: np.ndarray, ids: np.ndarray) -> None:
-        self.distance[q], self.id[q] = BITS + 1, 0
-        self.add(np.full(len(ids), q), distance, ids)
-
     def add(self, who: np.ndarray, distance: np.ndarray, ids: np.ndarray) -> None:
         near = distance <= self.kth(who)
         who, distance, ids = who[near], distance[near], ids[near]

@@ -48,6 +48,32 @@ def test_search_stops_only_when_covered():
         assert list(i[q == j]) == list(order) and list(d[q == j]) == list(all_d[order])
 
 
+@pytest.mark.parametrize("n", [3, 40, 500, 2000, 70_000])
+def test_index_answers_at_every_size(n):
+    """Segments follow the number of codes; what is verified stays a part of them where codes have neighbours."""
+    rng = np.random.default_rng(n)
+    centres = rng.integers(0, 2**63, max(1, n // 12), dtype=np.uint64)
+    flips = (np.uint64(1) << rng.integers(0, 64, (n, 3), dtype=np.uint64))
+    codes_ = centres[rng.integers(0, len(centres), n)] ^ flips[:, 0] ^ flips[:, 1] ^ flips[:, 2]
+    block = hamming.Block(codes_, np.arange(n))
+    assert sum(block.widths) == 64 and max(block.widths) <= 16 and len(block.widths) == -(-64 // min(max(n.bit_length() - 1, 4), 16))
+    queries = codes_[: min(n, 60)]
+    q, d, i = block.search(queries, 4)
+    for j in range(len(queries)):
+        all_d = np.bitwise_count(codes_ ^ queries[j]).astype(int)
+        order = np.lexsort((np.arange(n), all_d))[:4]
+        assert list(i[q == j]) == list(order) and list(d[q == j]) == list(all_d[order])
+    assert block.probed > 0 and 0 < block.verified <= n * len(queries)
+    if n >= 500:
+        assert block.verified < 0.3 * n * len(queries)
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, 3, 0, "a"), (2, 3, 9, "b"), (20, 1, 9, "c")], "id long, code long, rank int, distance string")
+    got = sorted(map(tuple, hamming.nearest(df, df.filter("id = 20"), 2).collect()))
+    assert got == [(20, 1, 1, 1), (20, 2, 2, 1)]
+
+
 def test_fewer_than_k_and_empty(spark):
     df = spark.createDataFrame([(1, 3), (2, 3)], "id long, code long")
     assert sorted(map(tuple, hamming.nearest(df, df).collect())) == [(1, 1, 2, 0), (2, 1, 1, 0)]

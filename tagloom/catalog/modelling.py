@@ -401,6 +401,29 @@ def compare_models(spark, d):
     return ln.compare_models(registry, train, test)[0]
 
 
+_MODELS = ", ".join(f"('{m}')" for m in ("LR", "SVC", "GBM", "RF", "NB", "FFNN", "Dummy"))
+
+
+@query(f"""WITH {q.VECTORS}, {SPLIT}, t AS (SELECT count(*) AS n FROM sp WHERE split = 'test')
+SELECT model, n AS scored, n AS sums_to_one, n AS highest_wins, n AS known_label FROM t, (VALUES {_MODELS}) m(model)""")
+def fitted_model_invariants(spark, d):
+    """What must hold for every fitted model: a probability per class, their sum, and the winner's."""
+    train, test = vector_split(spark, d)
+    classes, out = len(s.VECTOR_LABELS), None
+    for name, fit in ln.model_registry("vec_id").items():
+        rows = fit(train).transform(test)
+        total = F.aggregate("proba", F.lit(0.0), lambda a, x: a + x)
+        mine = F.get("proba", F.col("prediction").cast("int"))
+        part = rows.agg(
+            F.count("*").alias("scored"),
+            F.count_if((F.abs(total - 1) < 1e-6) & (F.size("proba") == classes)).alias("sums_to_one"),
+            F.count_if(mine >= F.array_max("proba") - 1e-9).alias("highest_wins"),
+            F.count_if(F.col("prediction").isin(*map(float, range(classes)))).alias("known_label"),
+        ).select(F.lit(name).alias("model"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def text_rows(spark, d):
     labeled, _ = fl.split_labeled_unlabeled(s.articles(spark, d))
     docs = ft.document_tokens(labeled, "doc_id", keep=["User_Needs"])

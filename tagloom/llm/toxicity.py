@@ -27,7 +27,7 @@ from .registry import query, table
 
 ROWS_PER_LABEL = 4000  # the bounded sample that is learned from: whole texts, chosen by digest of their ids
 MIN_ROWS = 4  # of the sample that a term must be in
-MIN_CHI = 16  # chi-square that a term must reach; chance alone passes one term in two thousand
+MIN_CHI = 16  # chi-square that a term must reach; chance alone passes one term in sixteen thousand
 MIN_RATIO = 3.0  # by which a term must be more frequent under one label than under the other
 MAX_TERMS = 1 << 15  # of a model: those that tell the labels apart best
 FACTORS, EPOCHS = 8, 200
@@ -152,12 +152,12 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     """A machine learned from at most ``rows_per_label`` whole texts of either label.
 
     The sample is chosen by a digest of the ids and weighted back to the shares of the labels among all
-    labelled rows. Terms in fewer than ``min_rows`` sampled texts, of a chi-square below ``min_chi`` or
-    less than ``min_ratio`` times as frequent under one label as under the other are left out, so that a long text does not gather evidence by its length, and of the rest the ``max_terms``
-    with the greatest chi-square are kept. Rows with a null id, null label or a label other
-    than 0 and 1 teach nothing, nor do ids without text; an id with several labels has the greater one, an id
-    with several texts is learned from one of them. Without any such row every score is below 1e-9, with one
-    label only the score is that label's share, smoothed.
+    labelled rows. Left out are terms in fewer than ``min_rows`` sampled texts, of a chi-square below ``min_chi``,
+    and less than ``min_ratio`` times as frequent under one label as under the other, so that a long text gathers
+    no evidence by its length; of the rest the ``max_terms`` with the greatest chi-square are kept. Rows with a
+    null id, null label or a label other than 0 and 1 teach nothing, nor do ids without text; an id with
+    several labels has the greater one, an id with several texts is learned from one of them. Without any such
+    row every score is below 1e-9, with one label only the score is that label's share, smoothed.
     """
     bound_batches(docs.sparkSession)
     sample, counts = _sampled(docs, labels, id, text, label, rows_per_label)

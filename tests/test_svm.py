@@ -121,3 +121,11 @@ def test_a_label_missing_outside_a_fold(spark):
     y[0] = 2  # a single row
     model = ln.fit_svc_calibrated(frame(spark, x, y), "id", 5)
     assert model.classes == 3 and model.transform(frame(spark, x, y)).count() == 60
+
+
+def test_one_task_and_many_fit_the_same_machines(spark):
+    x, y = data(3, 150)
+    train = frame(spark, x, y).repartition(3)
+    whole, spread = ln.fit_svc_calibrated(train, "id", 3), ln.fit_svc_calibrated(train, "id", 3, one_task=0)
+    assert np.allclose(whole.weights, spread.weights, atol=1e-6) and np.allclose(whole.slope, spread.slope, atol=1e-5)
+    assert np.allclose(whole.shift, spread.shift, atol=1e-5)

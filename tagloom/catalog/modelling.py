@@ -131,9 +131,8 @@ cw AS (SELECT topic, term, n, sqrt(n / size) * ln(1 + a / f) AS w FROM kc, aa)""
 
 
 def corpus_ctfidf(spark, d):
-    rows = topics(spark, d).select("doc_id", "topic")
-    counts = ex.corpus_terms(s.articles(spark, d), "doc_id")
-    return ft.ctfidf(counts.join(rows, "doc_id"))
+    docs = ft.document_tokens(topics(spark, d), "doc_id", keep=["topic"])
+    return ft.ctfidf(ft.class_counts(docs, "topic"))
 
 
 @query(f"WITH {CTFIDF} SELECT topic, term, n::BIGINT AS n, round(w, 7) AS weight FROM cw")

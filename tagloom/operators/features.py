@@ -34,6 +34,12 @@ def term_counts(docs: DataFrame, key: str, keep: Sequence[str] = (), lo: int = 1
     return terms.groupBy(key, *keep, "term").agg(F.count("*").alias("tf"))
 
 
+def class_counts(docs: DataFrame, by: str, lo: int = 1, hi: int = 2) -> DataFrame:
+    """``(by, term, tf)``: n-grams counted per class where the tokens are, without passing by documents."""
+    terms = docs.select(by, F.explode(tx.ngrams(F.col("tokens"), lo, hi)).alias("term"))
+    return terms.groupBy(by, "term").agg(F.count("*").alias("tf"))
+
+
 def row_count(df: DataFrame) -> Column:
     return df.agg(F.count("*").alias("n")).scalar()
 

@@ -34,9 +34,9 @@ LIMB = 40  # bits of a part of a sum, so that sums of any size stay exact
 BLOCK = 1 << 14  # vectors looked at together
 
 
-def usable(vector: Column, dims: int) -> Column:
-    """True for arrays of exactly ``dims`` components, none null, NaN or infinite."""
-    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+def usable(vector: Column, dims: int, scale: int = 1) -> Column:
+    """True for arrays of exactly ``dims`` components, none null, NaN or infinite, also when scaled."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < F.lit(float("inf"))))
     return F.coalesce(vector.isNotNull() & (F.size(vector) == dims) & finite, F.lit(False))
 
 
@@ -170,7 +170,7 @@ class VaFile:
         spark = rows.sparkSession
         bound_batches(spark)
         raw = F.col(f"`{vector}`").cast("array<double>")
-        kept = rows.select(F.col(f"`{id}`").alias("id"), raw.alias("v")).filter(usable(F.col("v"), dims))
+        kept = rows.select(F.col(f"`{id}`").alias("id"), raw.alias("v")).filter(usable(F.col("v"), dims, scale))
         digest = F.sha2(F.concat(F.lit("1:"), F.col("id").cast("string")).cast("binary"), 256)
         first = kept.withColumn("digest", digest).orderBy(F.col("digest").asc_nulls_last(), "v").limit(max(sample, k))
         first = np.array([r.v for r in first.select("v").collect()], np.float64).reshape(-1, dims)
@@ -281,8 +281,8 @@ def cluster(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", dims
             k: int = K, rounds: int = ROUNDS, bits: int = BITS, sample: int = SAMPLE) -> tuple[DataFrame, list[list[int]]]:
     """``(id, cluster, distance, cluster_inertia, inertia, centroid_sha256)`` per usable row, and the centroids.
 
-    A row counts if its vector has exactly ``dims`` components, none null, NaN or infinite; the others
-    are left out, other columns are not read. Rows are clustered one by one: repeated ids and repeated
+    A row counts if its vector has exactly ``dims`` components, none null, NaN or infinite, nor infinite as a
+    double once scaled; the others are left out, other columns are not read. Rows are clustered one by one: repeated ids and repeated
     vectors stay, each with its own result row. The first centroids are the vectors of the ``k`` rows with the
     least sha256 of ``1:<id>``, equal digests by their components; a null id never comes before another.
     Fewer rows than ``k`` give as many centroids as rows, an empty table gives no rows and no centroid.

@@ -70,6 +70,8 @@ def test_huge_components_stay_exact(spark):
     rows = [(i, (rng.normal(0, 1, 4) * 10.0 ** rng.integers(0, 4)).tolist()) for i in range(100)]
     rows += [(200, [1e30, 0.0, -1e30, 1.0]), (201, [3.4e38] * 4), (202, [-1e12, 1e12, 0.5, -0.5])]
     check(spark, rows, 4, 5)
+    beyond = spark.createDataFrame([(1, [1e308, 0.0]), (2, [0.5, 0.5])], "vec_id long, embedding array<double>")
+    assert [r.id for r in vafile.cluster(beyond, dims=2)[0].collect()] == [2]
 
 
 def test_equal_starts_few_rows_and_none(spark):

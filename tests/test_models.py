@@ -160,6 +160,17 @@ def test_similar_pairs_match_brute_force(spark, threshold, monkeypatch):
         assert {(r["a"], r["b"]) for r in sm.similar_pairs(w, "id", threshold, prefix).collect()} == brute
 
 
+@pytest.mark.parametrize("per_task", [16, 4096])
+def test_candidates_of_long_texts_are_hardly_more_than_the_pairs(spark, per_task, monkeypatch):
+    """Long documents that share half of their terms: a coarse sketch would let their pairs pass."""
+    monkeypatch.setattr(sm, "_POSTINGS_PER_TASK", per_task)
+    rows = [(f"d{i:02}", f"t{t}", 2, 200**-0.5) for i in range(24) for t in range(100)]
+    rows += [(f"d{i:02}", f"own{i // 2}-{t}", 50, 200**-0.5) for i in range(24) for t in range(100)]
+    w = spark.createDataFrame(rows, "id string, term string, df long, weight double")
+    got = {(r["a"], r["b"]) for r in sm.candidate_pairs(w, "id", 0.8).collect()}
+    assert got == {(f"d{i:02}", f"d{i + 1:02}") for i in range(0, 24, 2)}
+
+
 def test_candidates_hold_all_similar_pairs_and_few_others(spark):
     """Bounds at the posting join: nothing similar is lost, most meetings are ruled out there."""
     rng = np.random.default_rng(11)

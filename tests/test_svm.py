@@ -1,5 +1,7 @@
 """The calibrated machines against dense single-machine versions."""
 
+from threading import Barrier
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -129,3 +131,26 @@ def test_one_task_and_many_fit_the_same_machines(spark):
     whole, spread = ln.fit_svc_calibrated(train, "id", 3), ln.fit_svc_calibrated(train, "id", 3, one_task=0)
     assert np.allclose(whole.weights, spread.weights, atol=1e-6) and np.allclose(whole.slope, spread.slope, atol=1e-5)
     assert np.allclose(whole.shift, spread.shift, atol=1e-5)
+
+
+def test_blocks_hold_their_order_by_column_and_come_in_many(spark):
+    """300,000 stored numbers: a pass has several blocks, and none sorts its entries again."""
+    rng = np.random.default_rng(5)
+    rows = [(Vectors.sparse(5000, sorted(rng.choice(5000, 300, False).tolist()), [1.0] * 300), float(i % 2), i % 5) for i in range(1000)]
+    blocks = ps.packed(spark.createDataFrame(rows, ["features", "label_idx", "fold"]).coalesce(1), Scratch(spark, "order")).collect()
+    assert len(blocks) > 1
+    for row in blocks:
+        entry = np.frombuffer(row.entry, np.int64)
+        assert np.array_equal(np.frombuffer(row.order, np.int64), np.argsort(entry, kind="stable"))
+
+
+def test_folds_are_fitted_at_the_same_time(spark):
+    both = Barrier(2, timeout=60)
+
+    def fit(train):
+        both.wait()
+        return ln.fit_majority(train)
+
+    rows = spark.createDataFrame([(i, float(i % 3 == 0)) for i in range(60)], "id long, label_idx double")
+    out = ln.cross_validate(fit, rows, "id", 2).orderBy("fold").collect()
+    assert [r.fold for r in out] == [0, 1] and all(abs(r.f1_macro - 0.4) < 0.02 for r in out)

@@ -13,7 +13,7 @@ from .. import config as cfg
 from ..scratch import Scratch, settled
 from .aggregates import label_topic_crosstab
 from .blocks import key_type
-from .features import ctfidf, top_words
+from .features import ctfidf, packed_class_counts, top_words
 from .joins import label_topk_topics
 
 _SWEEPS = 60
@@ -151,9 +151,15 @@ def _in_rank_order(entry):
 
 
 def cluster_topics(counts: DataFrame, assignments: DataFrame, key: str, min_df: int = 5, n_words: int = 6) -> DataFrame:
-    """Size and leading words of every topic; noise is not a topic."""
+    """Size and leading words of every topic; noise is not a topic.
+
+    ``counts`` are long or packed; packed ones meet their topic as one row per document.
+    """
     topics = assignments.where(F.col("topic") != -1)
-    weights = ctfidf(counts.join(topics, key), "topic", min_df)
+    met = counts.join(topics.select(key, "topic"), key)
+    if "terms" in counts.columns:
+        met = packed_class_counts(met, "topic")
+    weights = ctfidf(met, "topic", min_df)
     words = top_words(weights, "topic", n_words).groupBy("topic").agg(
         _in_rank_order(F.struct("rank", "term")).alias("words")
     )

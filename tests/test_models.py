@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tagloom.functions import text as tx
 from tagloom.operators import blocks as bl
 from tagloom.operators import clustering as cl
 from tagloom.operators import evaluation as ev
@@ -305,3 +306,74 @@ def test_comparison_covers_every_model(monkeypatch):
     monkeypatch.setattr(modelling, "vector_split", lambda spark, d: (None, None))
     monkeypatch.setattr(modelling.ln, "compare_models", lambda models, train, test: (set(models), None))
     assert modelling.compare_models(None, None) == set(modelling.ln.model_registry("vec_id")) >= {"SVC", "GBM"}
+
+
+def test_terms_are_counted_in_place_and_repeated_keys_are_added_up(spark, rows):
+    docs = spark.createDataFrame(
+        [(1, "a", ["x", "y", "x", "y"]), (2, "a", []), (3, "b", ["x"]), (3, "b", ["x", "z"]), (None, "b", ["z"]), (None, "a", ["z"])],
+        "id long, c string, tokens array<string>",
+    )
+    packed = ft.packed_terms(docs, "id", ["c"])
+    assert packed.count() == 6 and packed.columns == ["id", "c", "terms", "tfs"]
+    first = packed.where("id = 1").first()
+    assert dict(zip(first.terms, first.tfs)) == {"x": 2, "y": 2, "x y": 2, "y x": 1}
+    counts = ft.unpacked(packed, "id", ["c"])
+    exploded = docs.select("id", "c", F.explode(tx.ngrams(F.col("tokens"))).alias("term")).groupBy("id", "c", "term").count()
+    assert rows(counts) == rows(exploded)
+    vocab = ft.vocabulary(counts, ft.row_count(docs), 1, 1.0, 3)
+    order = ["id", "c", "term", "df", "tf", F.round("weight", 9)]
+    assert rows(ft.packed_tfidf(packed, vocab, "id", ["c"]), *order) == rows(ft.tfidf(counts, vocab, "id", ["c"]), *order)
+
+
+def test_terms_of_single_documents_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, ["x", "y", f"w{i}"]) for i in range(20)], "id long, tokens array<string>")
+    packed = ft.packed_terms(docs, "id")
+    counts = ft.unpacked(packed, "id")
+    weights = ft.packed_tfidf(packed, ft.vocabulary(counts, ft.row_count(docs), 1, 1.0), "id")
+    for out in (counts, weights):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    by_document = tp.cluster_topics(packed, docs.select("id", (F.col("id") % 2).alias("topic")), "id", 1)
+    by_term = tp.cluster_topics(counts, docs.select("id", (F.col("id") % 2).alias("topic")), "id", 1)
+    assert sorted(by_document.collect()) == sorted(by_term.collect())
+
+
+def test_class_counts_and_ctfidf_of_packed_terms(spark, rows):
+    docs = spark.createDataFrame([(i, i % 3, ["x", "y", f"w{i % 4}", "x"]) for i in range(30)], "id long, topic int, tokens array<string>")
+    long = docs.select("topic", F.explode(tx.ngrams(F.col("tokens"))).alias("term")).groupBy("topic", "term").agg(F.count("*").alias("tf"))
+    packed = ft.packed_class_counts(ft.packed_terms(docs, "id", ["topic"]), "topic")
+    order = ["topic", "term", "n", F.round("weight", 9)]
+    assert rows(ft.class_counts(docs, "topic")) == rows(packed) == rows(long)
+    assert rows(ft.ctfidf(ft.class_counts(docs, "topic"), min_df=3), *order) == rows(ft.ctfidf(long, min_df=3), *order)
+
+
+def test_smallest_settles_ties_by_column_and_leaves_out_nan():
+    rng = np.random.default_rng(3)
+    d = rng.integers(0, 6, (40, 30)).astype(float)
+    d[rng.random(d.shape) < 0.4] = np.nan
+    d[0] = np.nan
+    for k in (1, 4, 29, 30, 50):
+        row, at = bl._smallest(d, k)
+        for i in range(len(d)):
+            full = np.argsort(d[i], kind="stable")[:k]
+            assert at[row == i].tolist() == full[~np.isnan(d[i, full])].tolist()
+
+
+def test_blocks_of_neighbours_grow_with_the_rows(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(bl, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(bl, "_by_cells", lambda df, key, vector, k, metric, n, nearest, schema, rows: (sizes.append(rows), spark.createDataFrame([], schema))[1])
+    for n in (40, 640):
+        bl.knn_graph(spark.range(n).select("id", F.array(F.col("id").cast("double")).alias("v")), "id", "v", 2, ("euclidean",))
+    assert sizes == [4, 40]
+
+
+def test_unit_vectors_of_many_numbers_take_one_step_each(spark):
+    wide = F.transform(F.sequence(F.lit(0), F.lit(1999)), lambda i: (F.col("id") + i * i % 7).cast("double"))
+    flat = F.array_repeat(F.lit(3.0), 2000)
+    df = spark.range(3).select("id", F.when(F.col("id") == 1, flat).when(F.col("id") == 2, F.array(F.lit(None).cast("double"))).otherwise(wide).alias("v"))
+    for centred in (False, True):
+        got = {r.id: r.u for r in df.select("id", bl._unit(F.col("v"), centred).alias("u")).collect()}
+        x = np.array(df.where("id = 0").first().v)
+        x = x - x.mean() if centred else x
+        assert np.allclose(got[0], x / np.linalg.norm(x)) and got[2] is None
+        assert (got[1] is None) == centred

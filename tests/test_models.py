@@ -377,3 +377,15 @@ def test_unit_vectors_of_many_numbers_take_one_step_each(spark):
         x = x - x.mean() if centred else x
         assert np.allclose(got[0], x / np.linalg.norm(x)) and got[2] is None
         assert (got[1] is None) == centred
+
+
+def test_kmeans_runs_end_where_sparks_do(blobs, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+
+    noisy = blobs.withColumn("v", F.transform("v", lambda x: x + F.rand(3) * 12)).persist()
+    rows = cl.with_features(noisy, "v").select("features").persist()
+    theirs = {k: min(KMeans(k=k, seed=s, maxIter=40).fit(rows).summary.trainingCost for s in (7, 8)) for k in (2, 5)}
+    for cells in (cl.ONE_TASK, 10):
+        monkeypatch.setattr(cl, "ONE_TASK", cells)
+        ours = cl._best_models(rows, (2, 5), 2, 7, 40)
+        assert {k: m.cost for k, m in ours.items()} == pytest.approx(theirs)

@@ -1,4 +1,5 @@
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -389,3 +390,19 @@ def test_kmeans_runs_end_where_sparks_do(blobs, monkeypatch):
         monkeypatch.setattr(cl, "ONE_TASK", cells)
         ours = cl._best_models(rows, (2, 5), 2, 7, 40)
         assert {k: m.cost for k, m in ours.items()} == pytest.approx(theirs)
+
+
+def test_models_are_fitted_side_by_side(spark):
+    """Each fit waits for the other: one after the other, they would never meet."""
+    both = threading.Barrier(2, timeout=30)
+
+    def fit(train):
+        both.wait()
+        return ln.fit_majority(train)
+
+    rows = [(i, float(i % 3 == 0)) for i in range(30)]
+    train = spark.createDataFrame(rows, "id long, label_idx double")
+    models = ln.fit_all({"b": fit, "a": fit}, train)
+    assert [(k, m.label, m.classes) for k, m in models.items()] == [("b", 0.0, 2), ("a", 0.0, 2)]
+    results, models = ln.compare_models({"b": fit, "a": fit}, train, train)
+    assert [r.model for r in results.collect()] == ["a", "b"] and list(models) == ["b", "a"]

@@ -144,3 +144,14 @@ def test_histogram_constant_and_box(spark):
     box = spark.createDataFrame([(v, "a") for v in (1, 2, 3, 4, 100)], "v int, User_Needs string")
     r = length_box_stats(box, "v").first()
     assert (r["whisker_low"], r["median"], r["whisker_high"]) == (1, 3.0, 4)
+
+
+def test_lemmas_are_set_in_place_or_joined_alike(spark, rows, monkeypatch):
+    given = [(1, "bus buses boxes men", "wolves wolf"), (1, "box man", None), (None, "buses churches", ""), (2, None, "church ladies lady glass")]
+    df = spark.createDataFrame(given, "id long, Title string, text string")
+    out = tk.token_arrays(df, "id", ["Title", "text"])
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    here = rows(out)
+    assert ("church" in here[-1][1] or any("church" in r[1] for r in here)) and any("wolf" in r[2] and "wolves" not in r[2] for r in here)
+    monkeypatch.setattr(tk, "MAP_TOKENS", 0)
+    assert rows(tk.token_arrays(df, "id", ["Title", "text"])) == here

@@ -158,7 +158,7 @@ def cluster_topics(counts: DataFrame, assignments: DataFrame, key: str, min_df:
     topics = assignments.where(F.col("topic") != -1)
     met = counts.join(topics.select(key, "topic"), key)
     if "terms" in counts.columns:
-        met = packed_class_counts(met, "topic")
+        met = packed_class_counts(met, "topic", summed=False)
     weights = ctfidf(met, "topic", min_df)
     words = top_words(weights, "topic", n_words).groupBy("topic").agg(
         _in_rank_order(F.struct("rank", "term")).alias("words")

@@ -406,3 +406,35 @@ def test_models_are_fitted_side_by_side(spark):
     assert [(k, m.label, m.classes) for k, m in models.items()] == [("b", 0.0, 2), ("a", 0.0, 2)]
     results, models = ln.compare_models({"b": fit, "a": fit}, train, train)
     assert [r.model for r in results.collect()] == ["a", "b"] and list(models) == ["b", "a"]
+
+
+def test_counts_of_many_tasks_are_added_up_by_ctfidf(spark, rows, monkeypatch):
+    """Terms that go on from batch to batch, too."""
+    given = [("ab"[i % 2], [f"w{i % 5}", "x", f"w{i % 3}", "x"]) for i in range(24)] + [(None, ["x", "y"])] * 5
+    docs = spark.createDataFrame([(i, *g) for i, g in enumerate(given)], "id long, c string, tokens array<string>").repartition(5)
+    order = ["c", "term", "n", F.round("weight", 9)]
+    wanted = rows(ft.ctfidf(ft.class_counts(docs, "c"), "c", 2), *order)
+    for batch in ("10000", "2"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        monkeypatch.setattr(ft, "_HELD", int(batch))
+        try:
+            for parts in (ft.class_counts(docs, "c", summed=False), ft.packed_class_counts(ft.packed_terms(docs, "id", ["c"]), "c", summed=False)):
+                assert rows(ft.ctfidf(parts, "c", 2), *order) == wanted and len(wanted) > 6
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_frequent_terms_meet_without_a_join_or_window(spark):
+    docs = spark.createDataFrame([(i % 3, ["x", "y", f"w{i % 4}"]) for i in range(30)], "topic int, tokens array<string>")
+    plan = ft._frequent_terms(ft.class_counts(docs, "topic", summed=False), "topic", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "HashAggregate" not in plan and "Join" not in plan
+
+
+def test_class_distribution_counts_the_vocabulary_only(spark):
+    """The counts are shuffled by term for the vocabulary, and not again by class."""
+    docs = spark.createDataFrame([(i, "ab"[i % 2], ["x", "y", f"w{i}"]) for i in range(20)], "id long, User_Needs string, tokens array<string>")
+    counts = ft.term_counts(docs, "id", ["User_Needs"])
+    out = ft.class_term_distribution(counts, ft.row_count(docs), ["a", "b"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [term" in plan and "LeftSemi" in plan
+    assert {(r.User_Needs, r.term): round(r.p, 6) for r in out.collect()} == {(c, t): round(1 / 3, 6) for c in "ab" for t in ("x", "y", "x y")}

@@ -107,6 +107,21 @@ def test_mix_leaves_its_schedule(spark):
     assert max(r.block for r in got) > 0 and len({r.slot for r in got}) > len({r.mix_source for r in got})
 
 
+def test_tokens_come_in_the_order_of_the_mix(spark, library):  # noqa: F811
+    """The mix decides in which order the last stage returns its rows, also of ids that come twice or are null."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(i, f"w{i} " * 30_000, "en", f"src{i % 3}", 9) for i in range(24)] + [(5, "a", "en", "src9", 1), (None, "b", "en", None, 1)]
+    docs = spark.createDataFrame(rows, schema)
+    mixed = corpus_pipeline.STAGES[3][1](spark, docs, "").collect()
+    slot = {}
+    for r in corpus_pipeline.mix_schedule(spark).collect():
+        slot[r.doc_id] = min(r.slot, slot.get(r.doc_id, r.slot))
+    out = corpus_pipeline.STAGES[4][1](spark, spark.createDataFrame(sorted(mixed, key=lambda r: r.text), schema), "").collect()
+    key = lambda i: (slot[i], hashlib.md5(("" if i is None else str(i)).encode()).hexdigest())
+    got = [r.doc_id for r in out]
+    assert got == sorted((r[0] for r in rows), key=key) and len({slot[i] for i in got}) > 3
+
+
 @pytest.mark.parametrize("without", ["corpus_pipeline.py", "tagloom/llm"])
 def test_entry_imports_without_this_package(tmp_path, without):
     for name in ("__spark_entry__.py", "corpus_pipeline.py"):

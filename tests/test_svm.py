@@ -154,3 +154,29 @@ def test_folds_are_fitted_at_the_same_time(spark):
     rows = spark.createDataFrame([(i, float(i % 3 == 0)) for i in range(60)], "id long, label_idx double")
     out = ln.cross_validate(fit, rows, "id", 2).orderBy("fold").collect()
     assert [r.fold for r in out] == [0, 1] and all(abs(r.f1_macro - 0.4) < 0.02 for r in out)
+
+
+def test_a_task_per_machine_fits_the_same_machines(spark, monkeypatch):
+    x, y = data(3, 150, 40, sparse=True)
+    train = frame(spark, x, y, sparse=True).repartition(3)
+    monkeypatch.setattr(svm.in_products, "__defaults__", (0,))
+    fits = [ln.fit_svc_calibrated(train, "id", 3, one_task=0, own_tasks=n, tol=1e-9) for n in (1 << 23, 0)]
+    assert np.abs(fits[0].weights - fits[1].weights).max() < 1e-5 and fits[0].weights.shape == (41, 3, 3)
+    assert np.allclose(fits[0].slope, fits[1].slope, atol=1e-4) and np.allclose(fits[0].shift, fits[1].shift, atol=1e-4)
+    single = svm.fit_margins(ps.Held([]), 41, np.ones((3, 3)), 1.0, 5, 1e-5, own=(1, 2))
+    assert single.shape == (41, 1, 1)
+
+
+def test_sparse_products_go_by_pieces_and_skip_empty_rows(monkeypatch):
+    monkeypatch.setattr(ps, "PIECE", 16)
+    x, _ = data(3, 90, 60, sparse=True)
+    x[::7] = 0.0
+    row, column = np.nonzero(x)
+    start = np.concatenate([[0], np.cumsum((x != 0).sum(axis=1))])
+    held, rng = ps.Matrix(60, start, column, x[row, column]), np.random.default_rng(1)
+    assert held.dense is None and len(held.pieces()) > 4
+    w, r = rng.normal(size=(60, 3)), rng.normal(size=(90, 2))
+    w[:, 1] = 0.0
+    assert np.allclose(held.times(w), x @ w) and np.allclose(held.transposed_times(r), x.T @ r)
+    some = rng.random(90) < 0.5
+    assert np.allclose(held.where(some).times(w), x[some] @ w)

@@ -93,3 +93,17 @@ def test_copies_and_one_class(spark):
     assert [tuple(r) for r in only] == [(0.0, [1.0])]
     with pytest.raises(Exception, match="finite"):
         fo.fit_forest(df.withColumn("features", array_to_vector(F.array(F.lit(float("nan")), F.lit(1.0)))), 2)
+
+
+def test_questions_are_not_broadcast(spark, frame, monkeypatch):
+    """Their estimate is that of the rows, while every tree asks for each row."""
+    plans, write = {}, fo.Scratch.write
+
+    def noted(self, df, name, *more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, df, name, *more)
+
+    model = fo.fit_forest(frame, trees=3, depth=4)
+    monkeypatch.setattr(fo.Scratch, "write", noted)
+    assert model.transform(frame).count() == 1200
+    assert "SortMergeJoin [tree" in plans["scored"] and "BroadcastHashJoin [tree" not in plans["scored"]

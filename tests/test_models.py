@@ -438,3 +438,16 @@ def test_class_distribution_counts_the_vocabulary_only(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [term" in plan and "LeftSemi" in plan
     assert {(r.User_Needs, r.term): round(r.p, 6) for r in out.collect()} == {(c, t): round(1 / 3, 6) for c in "ab" for t in ("x", "y", "x y")}
+
+
+def test_questions_to_cells_are_not_broadcast(spark):
+    """A row for each cell that is asked came back by a join with what the optimizer took for a small table."""
+    from tagloom.operators.pivots import Cells
+
+    df = far_blobs(spark)
+    n = df.count()
+    cells = Cells(df, "id", "v", n, 25)
+    asked = cells.asked(k=4)
+    met = cells.meet(asked, lambda a, b: a[["id"]], "id long")
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert asked.columns == ["id", "v", "cells"] and plan.count("Join Inner") == 2  # both with the counts of the cells

@@ -451,3 +451,14 @@ def test_questions_to_cells_are_not_broadcast(spark):
     met = cells.meet(asked, lambda a, b: a[["id"]], "id long")
     plan = met._jdf.queryExecution().optimizedPlan().toString()
     assert asked.columns == ["id", "v", "cells"] and plan.count("Join Inner") == 2  # both with the counts of the cells
+
+
+def test_a_document_goes_to_a_group_once(spark, monkeypatch):
+    """Its bucket norms were sent with each of its postings."""
+    monkeypatch.setattr(sm, "_POSTINGS_PER_TASK", 64)
+    rows = [(i, f"t{(i * 7 + j * j) % 40}", 1, 0.2, 0.1) for i in range(30) for j in range(12)]
+    prefixes = spark.createDataFrame(rows, "id long, term string, df int, weight double, rest double").dropDuplicates(["id", "term"])
+    sent = sm._sent(prefixes, sm._bucket_norms(prefixes, "id", 16), "id").persist()
+    assert sent.count() == sent.select("id", "__group", "__lo", "__hi").distinct().count()
+    postings = sent.agg(F.sum(F.size("term"))).first()[0]
+    assert postings == prefixes.count() and sent.count() < 0.8 * postings

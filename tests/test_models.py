@@ -462,3 +462,17 @@ def test_a_document_goes_to_a_group_once(spark, monkeypatch):
     assert sent.count() == sent.select("id", "__group", "__lo", "__hi").distinct().count()
     postings = sent.agg(F.sum(F.size("term"))).first()[0]
     assert postings == prefixes.count() and sent.count() < 0.8 * postings
+
+
+def test_silhouette_blocks_grow_with_the_rows(spark, monkeypatch):
+    """A row was sent to each block of 2,048 rows, however many there are."""
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, int(i % 3), rng.normal(i % 3, 1.0, 2).tolist()) for i in range(200)], "id long, c int, v array<double>").persist()
+    whole = {r["id"]: r["silhouette"] for r in bl.silhouette_samples(df, "id", "v", "c", block_rows=200).collect()}
+    used, pairs = [], bl.block_pairs
+    monkeypatch.setattr(bl, "block_pairs", lambda *a: used.append(a[4]) or pairs(*a))
+    monkeypatch.setattr(bl, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(bl, "_BLOCKS", 4)
+    monkeypatch.setattr(bl, "_TILE", 300)
+    got = {r["id"]: r["silhouette"] for r in bl.silhouette_samples(df, "id", "v", "c").collect()}
+    assert used == [50] and got.keys() == whole.keys() and all(got[k] == pytest.approx(whole[k], abs=1e-9) for k in got)
